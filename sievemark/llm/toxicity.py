@@ -41,7 +41,7 @@ SEPARATORS = " .-_*~"
 #: Expected rows of each label that weights are fitted on, features kept, entries of the language model, labels that are broadcast at most.
 SAMPLE_ROWS, FEATURES, LM_ENTRIES, BROADCAST_LABELS = 20_000, 5_000, 100_000, 1_000_000
 #: Costs of the channel, and standard errors that are taken off a weight.
-SWAP, KEEP_SIGN, DROP_SEPARATOR, KEEP_SEPARATOR, DROP_REPEAT, ERRORS = 1.0, 8.0, 0.5, 2.0, 0.5, 1.5
+SWAP, KEEP_SIGN, DROP_SEPARATOR, KEEP_SEPARATOR, DROP_REPEAT, ERRORS = 1.0, 8.0, 0.5, 4.0, 0.5, 1.5
 _EDGE = ".,;:?\"'()[]{}<>*%&#~`…«»“”‘’-_/\\="
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*~]){3,}[^\W_](?!\w)")
 _RUN = re.compile(r"([^\W\d_])\1\1")

@@ -3,12 +3,13 @@
 A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a document with a smaller id, or earlier in the
 same one. Matches never cross documents, and strings are judged on the input.
 
-Sharding. Every window of LENGTH bytes has an anchor: the 24 bytes in it whose hash is least (the leftmost such). Equal windows
+Sharding. Every window of LENGTH bytes has an anchor: the 32 bytes in it whose hash is least (the leftmost such). Equal windows
 have equal anchors at equal places, so that all copies of a window meet in the shard of its anchor. Neighbouring windows with
 the same anchor form a context, and a context is all that is known of them outside their document. Contexts that are equal as
 a whole are settled at once: all but the first go. Anchors that have a single context are done. The rest have their bytes
-fetched. Where an anchor has more contexts than a shard holds, they are split in halves by their windows, which share more
-bytes and so have longer anchors, until shards are small: most of the halves are equal as a whole, or alone, by then. In
+fetched. Contexts are split in halves by their windows, which share more bytes
+and so have longer anchors: most of the halves are equal as a whole, or alone, by then. Anchors that still have more contexts
+than a shard holds are split further, until shards are small. In
 each shard the contexts are concatenated and their suffix array is built; windows that are equal stand in a row there, and all
 but the first in document order go.
 
@@ -16,7 +17,7 @@ Defined results. Null text is empty; texts shorter than LENGTH lose nothing. Row
 nothing. Rows that repeat a doc_id and text count as one document, and each is returned with the same result; one doc_id with
 several texts is several documents, in order of a hash of the text. Other columns are not read.
 
-At scale: what is shuffled of every document is its anchors, about one for 39 bytes; in a task equal contexts are merged before.
+At scale: what is shuffled of every document is its anchors, about one for 35 bytes; in a task equal contexts are merged before.
 Tasks stream through sorted anchors and hold one shard at a time. The texts themselves are shuffled to fetch contexts and to cut.
 """
 
@@ -33,9 +34,11 @@ from pyspark.sql import functions as F
 from .common import process_slots, written
 from .suffix_array import suffix_array
 
-LENGTH, ANCHOR = 100, 24
-#: Bytes of a shard, and windows whose anchors are sought at a time.
-SHARD_BYTES, BLOCK = 1 << 17, 1 << 19
+LENGTH, ANCHOR = 100, 32
+#: Bytes of a shard (small ones sort faster), bytes of an anchor's contexts that are split further, and windows whose anchors are sought at a time.
+SHARD_BYTES, LARGE_BYTES, BLOCK = 1 << 15, 1 << 17, 1 << 19
+#: Rounds in which all contexts that are not alone are halved, before only those of large groups are.
+ROUNDS = 2
 _SPAN = LENGTH - ANCHOR + 1
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -322,9 +325,13 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     part = F.substring("body", (F.col("low") + 1).cast("int"), (F.col("high") - F.col("low") + LENGTH).cast("int"))
     open_ = once.join(asked, ["doc", "tid"]).select(F.lit(OPEN).alias("kind"), "key", F.lit(0).cast("long").alias("whole"), "doc", "tid", "low", "high", "place", part.alias("body"))
     open_ = written(open_, "contexts")
+    for _ in range(ROUNDS):
+        halves = _compare(open_.mapInArrow(_halved, ROW_SCHEMA), "halves")
+        gone.append(halves.where(F.col("kind") == REMOVED))
+        open_ = halves.where(F.col("kind") == OPEN)
     small = []
     while True:
-        hot = written(open_.groupBy("key").agg(F.sum(F.octet_length("body")).alias("held"), F.max(F.expr(f"place div {_FAR} - place % {_FAR} div {_NEAR}")).alias("wide")).where((F.col("held") > SHARD_BYTES) & (F.col("wide") > 0)).select("key"), "hot")
+        hot = written(open_.groupBy("key").agg(F.sum(F.octet_length("body")).alias("held"), F.max(F.expr(f"place div {_FAR} - place % {_FAR} div {_NEAR}")).alias("wide")).where((F.col("held") > LARGE_BYTES) & (F.col("wide") > 0)).select("key"), "hot")
         if hot.isEmpty():
             small.append(open_)
             break

@@ -37,6 +37,30 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[list[int]], list[int]]:
     at = len(chars) - 1
     while at >= 0:
         own = members[at]
+        if sizes[at] == 1:  # the usual case, in short: one suffix, so that at most one leaves its group
+            i = own[0] if len(own) == 1 else next(x for x in own if group[x] == at)
+            j = i - 1
+            while j >= 0 and taken[j]:
+                j = smaller[j]
+            smaller[i] = j
+            taken[i] = 1
+            finished.append([i])
+            if j >= 0:
+                g = group[j]
+                if sizes[g] > 1:
+                    new = len(members)
+                    members.append([j])
+                    sizes.append(1)
+                    sizes[g] -= 1
+                    over = above[g]
+                    below.append(g)
+                    above.append(over)
+                    above[g] = new
+                    if over >= 0:
+                        below[over] = new
+                    group[j] = new
+            at = below[at]
+            continue
         if len(own) > 1:
             own = sorted(i for i in own if group[i] == at) if len(own) != sizes[at] else sorted(own)
         counts: dict[int, int] = {}

@@ -14,7 +14,20 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 512
 
 
+#: Bytes and rows of the batches that Python workers get at most; texts can be long, and workers share an executor's memory.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limits of Arrow batches to the above where they are higher."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = spark.conf.get(key).strip().lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.llm import decontamination, language_id, mixing, near_dup, secrets
-from sievemark.llm.common import table, written
+from sievemark.llm.common import small_batches, table, written
 
 #: Least similarity to the closest profile, of 1, at which a document counts as being in that language. Mixed and very short documents lie above 0.35; text in no learnt language lies near 0.
 LEAST_SIMILARITY = 0.15
@@ -18,11 +18,13 @@ LEAST_SIMILARITY = 0.15
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; others go."""
+    small_batches(spark)
     return language_id.keep_identified(docs, language_id.fit(docs), LEAST_SIMILARITY)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near-duplicates."""
+    small_batches(spark)
     return near_dup.one_of_each(docs)
 
 
@@ -33,6 +35,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
+    small_batches(spark)
     return secrets.redacted(docs)
 
 

@@ -2,7 +2,7 @@
 
 Each cleaner turns raw lines into one row for each source: its payload after all rules, the events (rule, action, before,
 after, target) in order, and the disposition KEEP, ISOLATE or DEDUP. Rules are `when` chains over named payload columns; no
-row leaves its partition until de-duplication, and isolated rows never do.
+row leaves its partition until de-duplication.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ def _events(keep_rule: str, *events: Column) -> Column:
 
 def _distinct(df: DataFrame, key: str, order: list[Column], rule: str) -> DataFrame:
     """Keeps the first of every key among the rows that are still KEEP; the others become DEDUP and point to it."""
-    group = Window.partitionBy("disposition", key).orderBy(*order, "source_file", "source_offset")
-    kept = F.col("disposition") == "KEEP"
-    best = df.where(kept).withColumn("_best", F.first("source_id").over(group)).withColumn("_place", F.row_number().over(group))
+    # rows that are no longer KEEP have a group of their own, so that one window serves all and none of them is skewed
+    own = F.when(F.col("disposition") == "KEEP", F.concat(F.lit("K"), F.col(key))).otherwise(F.col("source_id"))
+    group = Window.partitionBy("_key").orderBy(*order, "source_file", "source_offset")
+    ranked = df.withColumn("_key", own).withColumn("_best", F.first("source_id").over(group)).withColumn("_place", F.row_number().over(group))
     lost = F.col("_place") > 1
     event = F.array(F.struct(F.lit(rule).alias("rule"), F.lit("dedup").alias("action"), F.col("payload").alias("before"), F.col("payload").alias("after"), F.col("_best").alias("target")))
-    done = best.withColumn("events", F.when(lost, F.concat("events", event)).otherwise(F.col("events"))).withColumn("disposition", F.when(lost, "DEDUP").otherwise("KEEP"))
-    return done.drop("_best", "_place").unionByName(df.where(~kept))
+    done = ranked.withColumn("events", F.when(lost, F.concat("events", event)).otherwise(F.col("events"))).withColumn("disposition", F.when(lost, "DEDUP").otherwise(F.col("disposition")))
+    return done.drop("_key", "_best", "_place")
 
 
 def clean_users(lines: DataFrame) -> DataFrame:
@@ -140,5 +141,6 @@ def clean_ratings(lines: DataFrame, users: DataFrame, movies: DataFrame) -> Data
 
 
 def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    users, movies = clean_users(raw["users"]), clean_movies(raw["movies"])
-    return {"users": users, "movies": movies, "ratings": clean_ratings(raw["ratings"], reference_ids(users), reference_ids(movies))}
+    """All three tables, persisted: each is used several times by what follows, and a cut keeps plans small."""
+    users, movies = clean_users(raw["users"]).persist(), clean_movies(raw["movies"]).persist()
+    return {"users": users, "movies": movies, "ratings": clean_ratings(raw["ratings"], reference_ids(users), reference_ids(movies)).persist()}

@@ -180,7 +180,7 @@ def rating_distribution(spark, d):
 @query
 def dangling_references(spark, d):
     raw = synthetic.raw(spark, d)
-    f = raw["ratings"].select("source_offset", X.fields(F.col("raw_record")).alias("f")).where(F.size("f") == 4).select("source_offset", X.jtrim(F.col("f")[0]).alias("u"), X.jtrim(F.col("f")[1]).alias("m"))
+    f = raw["ratings"].select("source_offset", X.fields(F.col("raw_record")).alias("f")).where(F.size("f") == 4).select("source_offset", X.jtrim(X.at(F.col("f"), 0)).alias("u"), X.jtrim(X.at(F.col("f"), 1)).alias("m"))
     u = f.join(quality.raw_ids(raw["users"]), F.col("u") == F.col("id"), "left_anti").select(F.lit("user").alias("kind"), F.col("u").alias("id"))
     m = f.join(quality.raw_ids(raw["movies"]), F.col("m") == F.col("id"), "left_anti").select(F.lit("movie").alias("kind"), F.col("m").alias("id"))
     return u.unionByName(m).groupBy("kind", "id").agg(F.count("*").alias("n"))
@@ -203,7 +203,7 @@ def genre_normalise(spark, d):
 
 @query
 def genre_violations(spark, d):
-    g = synthetic.raw_movies(spark, d).select("source_offset", X.fields(F.col("raw_record")).alias("f")).where(F.size("f") == 3).select("source_offset", F.col("f")[2].alias("genres"))
+    g = synthetic.raw_movies(spark, d).select("source_offset", X.fields(F.col("raw_record")).alias("f")).where(F.size("f") == 3).select("source_offset", X.at(F.col("f"), 2).alias("genres"))
     return g.where(~X.genres_legal(F.col("genres")))
 
 

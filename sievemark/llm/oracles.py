@@ -83,11 +83,11 @@ WITH RECURSIVE d AS (
 ), e AS (
   SELECT x, y FROM l UNION ALL SELECT y, x FROM l
 ), r AS (
-  SELECT doc_id AS at, doc_id AS root FROM documents
+  SELECT doc_id AS node, doc_id AS root FROM documents
   UNION
-  SELECT e.y, r.root FROM r JOIN e ON e.x = r.at WHERE r.root < e.y
+  SELECT e.y, r.root FROM r JOIN e ON e.x = r.node WHERE r.root < e.y
 ), c AS (
-  SELECT at AS doc_id, min(root) AS component_id FROM r GROUP BY 1
+  SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY 1
 )
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN c ON c.doc_id = d.doc_id

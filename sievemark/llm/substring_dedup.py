@@ -318,12 +318,13 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     """doc, tid, low, high: spans of bytes that go (they may overlap). docs: doc_id, tid, body (bytes)."""
     whole = docs.where(F.col("doc_id").isNotNull())
     texts = whole.select(F.col("doc_id").alias("doc"), "tid", "body")
+    if _repeats(whole):
+        texts = texts.dropDuplicates(["doc", "tid"])
     found = _compare(texts.mapInArrow(_anchors, ROW_SCHEMA), "anchors")
     gone = [found.where(F.col("kind") == REMOVED)]
     asked = found.where(F.col("kind") == OPEN).drop("body", "kind", "whole")
-    once = texts.dropDuplicates(["doc", "tid"]) if _repeats(whole) else texts
     part = F.substring("body", (F.col("low") + 1).cast("int"), (F.col("high") - F.col("low") + LENGTH).cast("int"))
-    open_ = once.join(asked, ["doc", "tid"]).select(F.lit(OPEN).alias("kind"), "key", F.lit(0).cast("long").alias("whole"), "doc", "tid", "low", "high", "place", part.alias("body"))
+    open_ = texts.join(asked, ["doc", "tid"]).select(F.lit(OPEN).alias("kind"), "key", F.lit(0).cast("long").alias("whole"), "doc", "tid", "low", "high", "place", part.alias("body"))
     open_ = written(open_, "contexts")
     for _ in range(ROUNDS):
         halves = _compare(open_.mapInArrow(_halved, ROW_SCHEMA), "halves")

@@ -74,7 +74,7 @@ def read_lines_native(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Latin-1 has a character for every byte, so lengths in characters are lengths in bytes
     lines = F.split(F.decode("content", "ISO-8859-1"), "\n", -1)
-    starts = F.aggregate(lines, F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x) + 1)))
+    starts = F.aggregate("lines", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x) + 1)))
     rows = files.select("path", "length", lines.alias("lines")).select("path", "length", F.explode(F.arrays_zip(F.col("lines").alias("raw"), starts.alias("start"))).alias("z"))
     rows = rows.where(F.col("z.raw").isNotNull() & (F.col("z.start") < F.col("length")))
     return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.col("z.start").alias("source_offset"), F.regexp_replace("z.raw", r"\r$", "").alias("raw_record"))

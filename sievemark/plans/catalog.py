@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
-from sievemark.operators import cleaning, lineage, profiling, quality
+from sievemark.operators import artifacts, cleaning, lineage, profiling, quality
 from sievemark.plans import oracles, relational
 from sievemark.sources import synthetic
 
@@ -283,4 +283,26 @@ def multiset_diff(spark, d):
     return left.unionByName(right).groupBy("payload").agg(F.sum("side").alias("surplus")).where("surplus <> 0")
 
 
+def _typed(table: str):
+    def run(spark, d):
+        rows = artifacts.with_lineage(artifacts.typed(_cleaned(spark, d)[table], table), lineage.together(_cleaned(spark, d)))
+        rows = rows.withColumn("related", F.array_join("related_source_ids", ",")).drop("related_source_ids", "source_file")
+        return rows.withColumn("genres", F.array_join("genres", "|")) if table == "movies" else rows
+
+    return run
+
+
+for _t in synthetic.TABLES:
+    QUERIES[f"typed_{_t}"] = _typed(_t)
+
+
+@query
+def number_whitelist(spark, d):
+    """Numbers with decimals in prose that no account balance comes near, by how often they are said."""
+    facts = spark.read.parquet(f"{d}/supplier.parquet").select(F.round("s_acctbal", 2).cast("decimal(18,2)").alias("fact")).distinct()
+    said = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+\\.[0-9]{2}"), F.lit(0))).alias("x"))
+    numbers = said.select(F.col("x").try_cast("decimal(18,2)").alias("number")).where("number is not null").groupBy("number").agg(F.count("*").alias("n"))
+    return numbers.join(facts, F.col("number") == F.col("fact"), "left_anti").select(F.col("number").cast("string").alias("number"), "n")
+
+
 QUERIES |= {name: relational.runner(name) for name in relational.SQL}

@@ -279,3 +279,18 @@ SELECT count(*) AS users, min(k) AS least, list_sort(list(k))[count(*) // 2 + 1]
 SQL["id_gaps"] = _RAW + f", p AS (SELECT {_number('id')} AS i FROM ({_fields('raw_movies', 'id t g')})) SELECT min(i) AS low, max(i) AS high, max(i) - min(i) + 1 - count(DISTINCT i) AS gaps FROM p"
 SQL["title_conflicts"] = _RAW + f""", d AS (SELECT * FROM ({_fields('raw_movies', 'id t g')}) WHERE width = 3), p AS (SELECT id, count(DISTINCT t) AS t, count(DISTINCT g) AS g, count(*) AS k FROM d GROUP BY 1)
 SELECT 'title_with_ids' AS kind, count(*) AS n FROM (SELECT t FROM d GROUP BY t HAVING count(DISTINCT id) > 1) UNION ALL SELECT 'id_with_titles', count(*) FILTER (t > 1) FROM p UNION ALL SELECT 'id_with_genres', count(*) FILTER (g > 1) FROM p UNION ALL SELECT 'id_with_rows', count(*) FILTER (k > 1) FROM p"""
+
+_P = [f"CASE WHEN split_part(payload, '::', {i}) <> 'NULL' THEN split_part(payload, '::', {i}) END" for i in range(1, 6)]
+_REL = f", {_WINNER}, rel AS (SELECT winner, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS related FROM winner GROUP BY 1)\n"
+
+
+def _typed(of: str, columns: str) -> str:
+    return _CLEAN + _REL + f"SELECT source_id, source_table, source_offset, {columns}, coalesce(related, '') AS related FROM {of} LEFT JOIN rel ON winner = source_id WHERE disposition = 'KEEP'"
+
+
+_YEAR = f"try_cast(nullif(regexp_extract({_P[1]}, '[(]([0-9]{{4}})[)]\\s*$', 1), '') AS INT)"
+SQL["typed_users"] = _typed("cu", f"{_P[0]} AS user_id, {_P[1]} AS gender, CAST({_P[2]} AS INT) AS age, CAST({_P[3]} AS INT) AS occupation, {_P[4]} AS zip_code")
+SQL["typed_movies"] = _typed("cm", f"{_P[0]} AS movie_id, {_P[1]} AS title, CASE WHEN {_YEAR} <= {LAST_YEAR} THEN {_YEAR} END AS year, {_P[2]} AS genres")
+SQL["typed_ratings"] = _typed("cr", f"{_P[0]} AS user_id, {_P[1]} AS movie_id, CAST({_P[2]} AS TINYINT) AS rating, CAST({_P[3]} AS BIGINT) AS timestamp_seconds")
+SQL["number_whitelist"] = """WITH s AS (SELECT try_cast(unnest(regexp_extract_all(text, '[0-9]+\\.[0-9]{2}')) AS DECIMAL(18, 2)) AS number FROM documents)
+SELECT CAST(number AS VARCHAR) AS number, count(*) AS n FROM s WHERE number IS NOT NULL AND number NOT IN (SELECT CAST(round(s_acctbal, 2) AS DECIMAL(18, 2)) FROM supplier WHERE s_acctbal IS NOT NULL) GROUP BY 1"""

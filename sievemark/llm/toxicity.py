@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, remainder, written
+from .common import held_out, most_frequent, remainder, written
 from .language_id import _sum, gram_counts
 
 # Letters that a sign can stand for.
@@ -235,7 +235,7 @@ def language_model(docs: DataFrame, entries: int = LM_ENTRIES) -> CharModel:
             yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n)], ["gram", "n"])
 
     grams = docs.where("text is not null").select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return CharModel({r["gram"]: r["n"] for r in grams.orderBy(F.desc("n"), "gram").limit(entries).collect()})
+    return CharModel({r["gram"]: r["n"] for r in most_frequent(grams, entries)})
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -278,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, kept: int =
             yield out()
 
         grouped = sample.where(F.col("y") == y).select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-        return {r["feature"]: r["n"] for r in grouped.where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(20 * kept).collect()}
+        return {r["feature"]: r["n"] for r in most_frequent(grouped.where(F.col("n") >= least), 20 * kept)}
 
     toxic = counted(1, 3, None)
     other = counted(0, 1, frozenset(toxic))

@@ -11,9 +11,9 @@ rows with a null vec_id take no part. Vectors are compared with those of their o
 Rows that repeat a query's vec_id are the query's own and no candidates of it; other repeated rows are candidates one by one;
 a repeated query row is answered as often as it occurs. Fewer candidates than k: all. Other columns are not read.
 
-At scale: shards hold MAX_COMPONENTS numbers at most. The queries, a set that the caller states, meet all shards in blocks
-(each shard's task gets every query of its length once, and works through them in blocks); the pair of query and shard is the
-unit that is shuffled, not the pair of rows.
+At scale: shards hold MAX_COMPONENTS numbers at most, and so do blocks of queries, a set that the caller states. Every block
+meets every shard in a task of its own, whose memory those two bounds give whatever the size of the table; what is shuffled is
+a query for each shard and a shard for each block, never a pair of rows.
 """
 
 from __future__ import annotations
@@ -144,13 +144,17 @@ def top_k(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 5)
     home = dealt.withColumn("asks", F.coalesce(is_query(F.col("vec_id")), F.lit(False))).groupBy("dim", "shard").applyInArrow(within, RESULT)
     home = written(home, "home")
     reached = home.groupBy("query_row").agg(F.when(F.count("*") >= k, F.min("score")).alias("reach"))
-    asks = asks.join(reached, asks["row"] == reached["query_row"], "left")
-    away = asks.select("dim", F.col("shard").alias("at"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "row", "vec_id", "v", "reach").where("at != shard")
-    away = away.select("dim", "shard", "row", "vec_id", "v", "reach").toDF("for_dim", "for_shard", "for_row", "for_vec_id", "for_v", "reach")
+    most = F.greatest(F.lit(LEAST_ROWS), (F.lit(MAX_COMPONENTS) / F.greatest("dim", F.lit(1))).cast("long"))
+    blocks = written(asks.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / most).cast("long").alias("blocks")), "blocks")
+    asks = asks.join(reached, asks["row"] == reached["query_row"], "left").join(blocks, "dim")
+    asks = asks.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("blocks")))
+    away = asks.select("dim", F.col("shard").alias("at"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "block", "row", "vec_id", "v", "reach").where("at != shard")
+    away = away.select("dim", "shard", "block", "row", "vec_id", "v", "reach").toDF("for_dim", "for_shard", "for_block", "for_row", "for_vec_id", "for_v", "reach")
+    met = dealt.where("shards > 1").join(blocks, "dim").select("dim", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
 
     def across(asked: pa.Table, held: pa.Table) -> pa.Table:
         return _answers(asked.rename_columns([c.removeprefix("for_") for c in asked.column_names]), held, k)
 
-    rest = away.groupBy("for_dim", "for_shard").cogroup(dealt.groupBy("dim", "shard")).applyInArrow(across, RESULT)
+    rest = away.groupBy("for_dim", "for_shard", "for_block").cogroup(met.groupBy("dim", "shard", "block")).applyInArrow(across, RESULT)
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return home.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -158,6 +158,7 @@ def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(6)
     monkeypatch.setattr(top_k, "LEAST_ROWS", 64)
     monkeypatch.setattr(top_k, "LEAF", 8)
+    monkeypatch.setattr(top_k, "MAX_COMPONENTS", 12)
     vectors = rng.normal(size=(400, 6)).astype(np.float32)
     vectors[200:260] = vectors[0]
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(500, None), (550, [float("nan")] * 6), (600, [None] + [1.0] * 5), (650, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (700, [1.0, 2.0])]
@@ -170,6 +171,10 @@ def test_top_k(spark, monkeypatch):
         want += [(i, r, j, -s_) for r, (s_, j) in enumerate(best, 1)]
     got = sorted(tuple(r) for r in top_k.top_k(top_k.quantised(df), lambda c: c % 50 == 0).collect())
     assert got == sorted(want)
+    # every row asks, so that several blocks of queries meet several shards
+    want = [(i, r, j, -s_) for i in range(400) for r, (s_, j) in enumerate(sorted((-int(s), j) for j, s in enumerate(q @ q[i]) if j != i)[:5], 1)]
+    got = sorted(tuple(r) for r in top_k.top_k(top_k.quantised(df.where("vec_id < 400")), lambda c: c >= 0).collect())
+    assert got == sorted(want)
     assert top_k.top_k(top_k.quantised(df.where("false")), lambda c: c % 50 == 0).count() == 0
 
 

@@ -66,3 +66,28 @@ def gates(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame
         "genres_distinct": kept.where("source_table = 'movies'").select(F.split(F.split_part("payload", F.lit(X.SEP), F.lit(3)), r"\|", -1).alias("g")).where(F.size(F.array_distinct("g")) < F.size("g")),
     }
     return reduce(DataFrame.unionByName, (d.agg(F.count("*").alias("violations")).select(F.lit(g).alias("gate"), "violations") for g, d in checks.items()))
+
+
+def summary_gates(counted: DataFrame) -> DataFrame:
+    """gate, violations: counters that contradict each other, and whether the summary has all its rows."""
+    clean = counted.where("phase = 'after' and source_table = 'ratings'")
+    checks = {
+        "six_tables": counted.agg(F.abs(F.count("*") - 6)),
+        "within_records": counted.agg(F.count_if((F.greatest("acc", "cons", "ud", "uniq_excess") > F.col("n")) | (F.least(*(c for c in counted.columns if c not in ("phase", "source_table"))) < 0))),
+        "splits_conserve": clean.agg(F.count_if(F.col("train") + F.col("valid") + F.col("test") != F.col("n"))),
+        "clean_is_unique": counted.agg(F.count_if((F.col("phase") == "after") & (F.col("uniq_excess") != 0))),
+    }
+    return reduce(DataFrame.unionByName, (d.select(F.lit(g).alias("gate"), F.col(d.columns[0]).cast("long").alias("violations")) for g, d in checks.items()))
+
+
+def event_gates(rows: DataFrame) -> DataFrame:
+    """gate, violations: of the events alone. Orders are complete from 0, kept rows end in no other state, a keep rewrites nothing, and only duplicates have a target, never themselves."""
+    e = events(rows)
+    per = e.groupBy("source_id").agg(F.min("event_order").alias("low"), F.max("event_order").alias("high"), F.count_distinct("event_order").alias("k"), F.count("*").alias("n"))
+    checks = {
+        "order_complete": per.agg(F.count_if((F.col("low") != 0) | (F.col("high") != F.col("n") - 1) | (F.col("k") != F.col("n")))),
+        "kept_without_end": e.agg(F.count_if((F.col("disposition") == "KEEP") & F.col("action").isin("isolate", "dedup"))),
+        "keep_rewrites": e.agg(F.count_if((F.col("action") == "keep") & ~F.col("before").eqNullSafe(F.col("after")))),
+        "target_elsewhere": e.agg(F.count_if((F.col("action") == "dedup") != F.coalesce(F.col("target") != F.col("source_id"), F.lit(False)))),
+    }
+    return reduce(DataFrame.unionByName, (d.select(F.lit(g).alias("gate"), F.col(d.columns[0]).alias("violations")) for g, d in checks.items()))

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from sievemark.functions import exprs as X
 
 
-def _split(lines: DataFrame, names: str) -> DataFrame:
+def split_lines(lines: DataFrame, names: str) -> DataFrame:
+    """The lines with their number of fields (width) and the fields by name; missing ones are empty."""
     d = lines.withColumn("f", X.fields(F.col("raw_record")))
     return d.select("source_offset", "raw_record", F.size("f").alias("width"), *(X.at(F.col("f"), i).alias(n) for i, n in enumerate(names.split())))
 
 
-def _counted(d: DataFrame, checks: dict[str, Column]) -> DataFrame:
+def counted(d: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """measure, n: how many rows hold for each check, in one pass."""
     row = d.agg(*(F.coalesce(F.sum(F.coalesce(c, F.lit(False)).cast("long")), F.lit(0)).alias(k) for k, c in checks.items()))
     return row.select(F.explode(F.array(*(F.struct(F.lit(k).alias("measure"), F.col(k).alias("n")) for k in checks))).alias("x")).select("x.*")
@@ -28,27 +29,27 @@ def _repeats(d: DataFrame, key: str) -> DataFrame:
 
 
 def profile_users(lines: DataFrame) -> DataFrame:
-    d = _split(lines, "id g a o z")
+    d = split_lines(lines, "id g a o z")
     ok = F.col("width") == 5
     whole = _repeats(d.where(ok), "id")
     legal = [str(i) for i in range(21)]
     checks = {"repeated_id": F.col("again"), "conflicting_id": F.col("changed"), "bad_id": ~X.digits(F.col("id")), "bad_gender": ~F.col("g").isin("F", "M"), "bad_age": ~F.col("a").isin(X.AGES), "bad_occupation": ~F.col("o").isin(legal), "bad_zip": ~X.full(F.col("z"), "[0-9]{5}")}
     distinct = whole.agg(F.lit("distinct_id").alias("measure"), F.countDistinct("id").alias("n"))
-    return _counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(_counted(whole, checks)).unionByName(distinct)
+    return counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(counted(whole, checks)).unionByName(distinct)
 
 
 def profile_movies(lines: DataFrame) -> DataFrame:
-    d = _split(lines, "id t g")
+    d = split_lines(lines, "id t g")
     ok = F.col("width") == 3
     whole = _repeats(d.where(ok), "id").withColumn("gs", F.split("g", r"\|", -1))
     checks = {"repeated_id": F.col("again"), "conflicting_id": F.col("changed"), "bad_id": ~X.digits(F.col("id")), "empty_title": X.blank(F.col("t")), "mojibake": F.col("t").rlike("[ÃÂ]"), "no_year": X.year_of(F.col("t")).isNull(), "empty_genres": X.blank(F.col("g")), "repeated_genre": F.size(F.array_distinct("gs")) < F.size("gs"), "unknown_genre": F.exists("gs", lambda x: ~x.isin(X.GENRES))}
     distinct = whole.agg(F.lit("distinct_id").alias("measure"), F.countDistinct("id").alias("n"))
-    return _counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(_counted(whole, checks)).unionByName(distinct)
+    return counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(counted(whole, checks)).unionByName(distinct)
 
 
 def profile_ratings(lines: DataFrame, users: DataFrame, movies: DataFrame, low: int = 788918400, high: int = 1136073599) -> DataFrame:
     """low, high: the bounds of the years that the profile takes for plausible."""
-    d = _split(lines, "u m r t")
+    d = split_lines(lines, "u m r t")
     ok = F.col("width") == 4
     whole = d.where(ok).withColumn("ts", X.number(F.col("t")))
     w = Window.partitionBy("u", "m").orderBy("source_offset")
@@ -59,17 +60,17 @@ def profile_ratings(lines: DataFrame, users: DataFrame, movies: DataFrame, low:
     pairs = whole.groupBy("u", "m").count()
     more = [pairs.agg(F.lit("distinct_pairs").alias("measure"), F.count("*").alias("n")), pairs.where("count > 1").agg(F.lit("repeated_pairs").alias("measure"), F.count("*").alias("n"))]
     more += [whole.where(F.col("ts").between(low, high)).agg(F.lit(f"{k}_time").alias("measure"), f("ts").alias("n")) for k, f in (("first", F.min), ("last", F.max))]
-    return reduce(DataFrame.unionByName, more, _counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(_counted(paired, checks)))
+    return reduce(DataFrame.unionByName, more, counted(d, {"total": F.lit(True), "wrong_width": ~ok}).unionByName(counted(paired, checks)))
 
 
 def zip_masks(lines: DataFrame, top: int = 10) -> DataFrame:
-    d = _split(lines, "id g a o z").where("width = 5")
+    d = split_lines(lines, "id g a o z").where("width = 5")
     return d.groupBy(F.regexp_replace("z", "[0-9]", "9").alias("mask")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "mask").limit(top)
 
 
 def ratings_per_user(lines: DataFrame, heavy: int = 2000) -> DataFrame:
     """users, least, upper_median, most, heavy: of the number of ratings a user has. Users are counted by their number of ratings first, so that the median is found among few rows."""
-    per = _split(lines, "u m r t").where(F.col("width") == 4).where(X.digits(F.col("u"))).groupBy("u").count()
+    per = split_lines(lines, "u m r t").where(F.col("width") == 4).where(X.digits(F.col("u"))).groupBy("u").count()
     hist = per.groupBy("count").agg(F.count("*").alias("users"))
     w = Window.orderBy("count")
     run = hist.withColumn("through", F.sum("users").over(w)).withColumn("all", F.sum("users").over(Window.partitionBy()))
@@ -79,12 +80,12 @@ def ratings_per_user(lines: DataFrame, heavy: int = 2000) -> DataFrame:
 
 def id_gaps(lines: DataFrame) -> DataFrame:
     i = X.number(F.col("id"))
-    return _split(lines, "id t g").agg(F.min(i).alias("low"), F.max(i).alias("high"), (F.max(i) - F.min(i) + 1 - F.countDistinct(i)).alias("gaps"))
+    return split_lines(lines, "id t g").agg(F.min(i).alias("low"), F.max(i).alias("high"), (F.max(i) - F.min(i) + 1 - F.countDistinct(i)).alias("gaps"))
 
 
 def title_conflicts(lines: DataFrame) -> DataFrame:
     """kind, n: titles with several ids, and ids with several titles, genre lists or rows."""
-    d = _split(lines, "id t g").where("width = 3")
+    d = split_lines(lines, "id t g").where("width = 3")
     out = [d.groupBy("t").agg(F.countDistinct("id").alias("k")).where("k > 1").agg(F.lit("title_with_ids").alias("kind"), F.count("*").alias("n"))]
     per = d.groupBy("id").agg(F.countDistinct("t").alias("titles"), F.countDistinct("g").alias("genres"), F.count("*").alias("rows"))
     out += [per.agg(F.lit(f"id_with_{c}").alias("kind"), F.coalesce(F.sum((F.col(c) > 1).cast("long")), F.lit(0)).alias("n")) for c in ("titles", "genres", "rows")]

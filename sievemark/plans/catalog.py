@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
-from sievemark.operators import artifacts, cleaning, lineage, profiling, quality
+from sievemark.operators import artifacts, cleaning, exploring, lineage, profiling, quality
 from sievemark.plans import oracles, relational
 from sievemark.sources import synthetic
 
@@ -283,6 +283,52 @@ def multiset_diff(spark, d):
     return left.unionByName(right).groupBy("payload").agg(F.sum("side").alias("surplus")).where("surplus <> 0")
 
 
+def _explored(table: str):
+    def run(spark, d):
+        return {"users": exploring.explore_users, "movies": exploring.explore_movies, "ratings": exploring.explore_ratings}[table](synthetic.raw(spark, d)[table])
+
+    return run
+
+
+for _t in synthetic.TABLES:
+    QUERIES[f"explore_{_t}"] = _explored(_t)
+
+
+@query
+def most_repeated_pairs(spark, d):
+    return exploring.most_repeated_pairs(synthetic.raw_ratings(spark, d))
+
+
+@query
+def most_active_users(spark, d):
+    return exploring.most_active_users(synthetic.raw_ratings(spark, d))
+
+
+@query
+def value_histogram(spark, d):
+    return exploring.value_histogram(synthetic.raw_ratings(spark, d))
+
+
+@query
+def width_histogram(spark, d):
+    return exploring.widths(synthetic.raw(spark, d))
+
+
+@query
+def bad_value_histogram(spark, d):
+    return exploring.bad_values(synthetic.raw(spark, d))
+
+
+@query
+def summary_gates(spark, d):
+    return lineage.summary_gates(quality.counters(_seen(spark, d)))
+
+
+@query
+def event_gates(spark, d):
+    return lineage.event_gates(lineage.together(_cleaned(spark, d)))
+
+
 def _typed(table: str):
     def run(spark, d):
         rows = artifacts.with_lineage(artifacts.typed(_cleaned(spark, d)[table], table), lineage.together(_cleaned(spark, d)))

@@ -284,6 +284,47 @@ _P = [f"CASE WHEN split_part(payload, '::', {i}) <> 'NULL' THEN split_part(paylo
 _REL = f", {_WINNER}, rel AS (SELECT winner, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS related FROM winner GROUP BY 1)\n"
 
 
+_YEAR_END = r"'[(][0-9]{4}[)]\s*$'"
+
+
+def _complete(names: str) -> str:
+    n = names.split()
+    return f"(width = {len(n)} AND " + " AND ".join(f"{c} <> ''" for c in n) + ")"
+
+
+def _explored(table: str, names: str, more: str = "") -> str:
+    return _RAW + f", d AS (SELECT *, {_complete(names)} AS ok{more} FROM ({_fields('raw_' + table, names)}))"
+
+
+SQL["explore_users"] = _explored("users", "id g a o z") + f""", p AS (SELECT id, count(*) AS k, count(DISTINCT (g, a, o, z)) AS v, min(g) AS gender FROM d WHERE ok GROUP BY 1)
+{_agg({'incomplete': _if('NOT ok'), 'bad_gender': _if("ok AND g NOT IN ('F', 'M')"), 'bad_age': _if(f"ok AND NOT coalesce(list_contains([{', '.join(AGES)}], {_number('a')}), false)"), 'bad_occupation': _if('ok AND NOT ' + _occupation('o')), 'bad_zip': _if('ok AND NOT ' + _full('z', '[0-9]{5}'))}, 'd')} UNION ALL
+{_agg({'id_with_rows': _if('k > 1'), 'id_with_attributes': _if('v > 1')}, 'p')} UNION ALL
+SELECT 'gender_' || gender, count(*) FROM p GROUP BY 1"""
+SQL["explore_movies"] = _explored("movies", "id t g", ", list_transform(string_split(g, '|'), lambda x: " + _trim("x") + ") AS gs") + f""", p AS (SELECT {_trim(f"regexp_replace(t, {_YEAR_END}, '')")} AS name, count(DISTINCT id) AS k FROM d WHERE ok GROUP BY 1)
+{_agg({'incomplete': _if('NOT ok'), 'beyond_ascii': _if('ok AND octet_length(encode(t)) > length(t)'), 'padded_title': _if(f"ok AND {_trim('t')} <> t"), 'no_year': _if(f"ok AND NOT regexp_matches(t, {_YEAR_END})"), 'empty_genres': _if(f"ok AND {_trim('g')} = ''"), 'unknown_genre': _if(f"ok AND len(list_filter(gs, lambda x: NOT {_in('x', GENRES)})) > 0")}, 'd')} UNION ALL
+{_agg({'name_with_ids': _if('k > 1')}, 'p')}"""
+SQL["explore_ratings"] = _explored("ratings", "u m r t", f", {_number('r')} AS rv, {_number('t')} AS ts") + f""", p AS (SELECT u, m, count(*) AS k, count(DISTINCT rv) AS v FROM d WHERE ok GROUP BY 1, 2)
+{_agg({'incomplete': _if('NOT ok'), 'no_integer': _if('ok AND rv IS NULL'), 'outside_1_5': _if('ok AND rv NOT BETWEEN 1 AND 5'), 'no_time': _if('ok AND ts IS NULL'), 'time_implausible': _if('ok AND ts NOT BETWEEN 631123200 AND 1047791999')}, 'd')} UNION ALL
+{_agg({'repeated_pairs': _if('k > 1'), 'conflicting_pairs': _if('v > 1'), 'rows_of_repeated_pairs': 'coalesce(sum(k) FILTER (k > 1), 0)::BIGINT'}, 'p')}"""
+SQL["most_repeated_pairs"] = _explored("ratings", "u m r t") + "SELECT u, m, count(*) AS n FROM d WHERE ok GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, u, m LIMIT 5"
+SQL["most_active_users"] = _explored("ratings", "u m r t") + "SELECT u, count(*) AS n FROM d WHERE ok GROUP BY 1 ORDER BY n DESC, u LIMIT 5"
+SQL["value_histogram"] = _explored("ratings", "u m r t") + f"SELECT {_number('r')} AS rating, count(*) AS n FROM d WHERE ok GROUP BY 1 HAVING rating IS NOT NULL"
+SQL["width_histogram"] = _RAW + "SELECT source_table, len(string_split(raw_record, '::')) AS width, count(*) AS n FROM (SELECT source_table, raw_record FROM raw_users UNION ALL SELECT source_table, raw_record FROM raw_movies UNION ALL SELECT source_table, raw_record FROM raw_ratings) GROUP BY 1, 2"
+SQL["bad_value_histogram"] = _RAW + f""", u AS (SELECT * FROM ({_fields('raw_users', 'id g a o z')}) WHERE width = 5), m AS (SELECT unnest(string_split(g, '|')) AS x FROM ({_fields('raw_movies', 'id t g')}) WHERE width = 3), r AS (SELECT * FROM ({_fields('raw_ratings', 'u m r t')}) WHERE width = 4), b AS (
+SELECT 'users' AS source_table, 'gender' AS field, left(g, 12) AS value FROM u WHERE g NOT IN ('F', 'M') UNION ALL SELECT 'users', 'age', left(a, 12) FROM u WHERE NOT {_in('a', AGES)} UNION ALL
+SELECT 'users', 'occupation', left(o, 12) FROM u WHERE NOT {_in('o', _LEGAL)} UNION ALL SELECT 'users', 'zip', left(z, 10) FROM u WHERE NOT {_full('z', '[0-9]{5}')} UNION ALL
+SELECT 'movies', 'genre', left(x, 16) FROM m WHERE NOT {_in('x', GENRES)} UNION ALL SELECT 'ratings', 'rating', left(r, 8) FROM r WHERE NOT {_full('r', '[1-5]')})
+SELECT source_table, field, value, count(*) AS n FROM b GROUP BY 1, 2, 3"""
+SQL["summary_gates"] = _SEEN + f"""SELECT 'six_tables' AS gate, abs(count(*) - 6)::BIGINT AS violations FROM cnt UNION ALL
+SELECT 'within_records', {_if('greatest(acc, cons, ud, uniq_excess) > n OR least(' + _CNT + ') < 0')} FROM cnt UNION ALL
+SELECT 'splits_conserve', {_if("phase = 'after' AND source_table = 'ratings' AND train + valid + test <> n")} FROM cnt UNION ALL
+SELECT 'clean_is_unique', {_if("phase = 'after' AND uniq_excess <> 0")} FROM cnt"""
+SQL["event_gates"] = _CLEAN + f"""SELECT 'order_complete' AS gate, {_if('low <> 0 OR high <> n - 1 OR k <> n')} AS violations FROM (SELECT min(event_order) AS low, max(event_order) AS high, count(DISTINCT event_order) AS k, count(*) AS n FROM ev GROUP BY source_id) UNION ALL
+SELECT 'kept_without_end', {_if("disposition = 'KEEP' AND action IN ('isolate', 'dedup')")} FROM ev UNION ALL
+SELECT 'keep_rewrites', {_if("action = 'keep' AND before IS DISTINCT FROM after")} FROM ev UNION ALL
+SELECT 'target_elsewhere', {_if("(action = 'dedup') <> coalesce(target <> source_id, false)")} FROM ev"""
+
+
 def _typed(of: str, columns: str) -> str:
     return _CLEAN + _REL + f"SELECT source_id, source_table, source_offset, {columns}, coalesce(related, '') AS related FROM {of} LEFT JOIN rel ON winner = source_id WHERE disposition = 'KEEP'"
 

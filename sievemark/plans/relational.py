@@ -70,6 +70,22 @@ SELECT stage, total AS before_ms, total_b AS after_ms, total_b - total AS delta_
     "claim_validation": _RUNS + """, claims AS (SELECT request_seq, CASE WHEN request_seq % 3 = 0 THEN accurate + 1 ELSE accurate END AS said, CASE WHEN request_seq % 4 = 1 THEN 'complete' ELSE 'accurate' END AS field FROM runs),
   checked AS (SELECT c.request_seq, c.field, c.said, CASE WHEN c.field = 'accurate' THEN r.accurate ELSE r.complete END AS fact FROM claims c JOIN runs r ON c.request_seq = r.request_seq)
 SELECT field, CASE WHEN said = fact THEN 'VERIFIED' ELSE 'REJECTED' END AS verdict, count(*) AS n FROM checked GROUP BY 1, 2""",
+    "history_series": _RUNS + """, named AS (SELECT o.*, row_number() OVER (PARTITION BY dataset ORDER BY request_seq) AS place FROM runs o WHERE status = 'PUBLISHED')
+SELECT dataset, max(CASE WHEN place = 1 THEN accurate END) AS run1, max(CASE WHEN place = 2 THEN accurate END) AS run2, max(CASE WHEN place = 3 THEN accurate END) AS run3, max(CASE WHEN place = 3 THEN repaired END) - max(CASE WHEN place = 1 THEN repaired END) AS repaired_delta
+FROM named WHERE place <= 3 GROUP BY dataset HAVING count(*) >= 2""",
+    "current_result": _RUNS + """, published AS (SELECT request_seq AS publish_seq, dataset AS of_dataset FROM runs WHERE status = 'PUBLISHED'), latest AS (SELECT of_dataset AS current_dataset, max(publish_seq) AS current_seq FROM published GROUP BY of_dataset)
+SELECT r.request_seq, r.dataset, r.status, p.publish_seq IS NOT NULL AS published, c.current_seq IS NOT NULL AS is_current FROM runs r LEFT JOIN published p ON p.publish_seq = r.request_seq LEFT JOIN latest c ON c.current_seq = p.publish_seq AND c.current_dataset = r.dataset""",
+    "alias_resolution": """WITH aliases AS (SELECT DISTINCT o_orderpriority || '-' || CAST(o_custkey % 50 AS VARCHAR(20)) AS alias, o_custkey % 211 AS archive FROM orders), found AS (SELECT alias, count(*) AS n, min(archive) AS archive FROM aliases GROUP BY alias)
+SELECT alias, CASE WHEN n = 1 THEN 'RESOLVED' ELSE 'AMBIGUOUS' END AS verdict, CASE WHEN n = 1 THEN archive END AS archive, n FROM found""",
+    "action_delta": """WITH actions AS (SELECT user_id % 5 AS run, event_type || ':' || CAST(event_id % 9 AS VARCHAR(20)) AS action FROM events), a AS (SELECT action, count(*) AS n FROM actions WHERE run = 0 GROUP BY action), b AS (SELECT action AS other, count(*) AS k FROM actions WHERE run = 1 AND action NOT LIKE '%:3' GROUP BY action)
+SELECT coalesce(action, other) AS action, coalesce(n, 0) AS before_n, coalesce(k, 0) AS after_n, coalesce(k, 0) - coalesce(n, 0) AS delta FROM a FULL OUTER JOIN b ON action = other""",
+    "inventory_diff": """WITH expected AS (SELECT 'f' || CAST(event_id % 1500 AS VARCHAR(20)) AS file FROM events WHERE event_id % 3 <> 0 GROUP BY 1), present AS (SELECT 'f' || CAST(event_id % 1500 AS VARCHAR(20)) AS held FROM events WHERE event_id % 5 <> 0 GROUP BY 1)
+SELECT coalesce(file, held) AS file, CASE WHEN held IS NULL THEN 'MISSING' ELSE 'EXTRA' END AS kind FROM expected FULL OUTER JOIN present ON file = held WHERE file IS NULL OR held IS NULL""",
+    "backup_coverage": _RUNS + """, copies AS (SELECT o_orderkey AS copied_seq, o_orderkey * 37 % 10001 + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS copied_value FROM orders WHERE o_orderkey % 13 <> 0)
+SELECT CASE WHEN copied_seq IS NULL THEN 'ABSENT' WHEN copied_value <> accurate THEN 'DIFFERENT' ELSE 'COVERED' END AS verdict, status, count(*) AS n FROM runs LEFT JOIN copies ON copied_seq = request_seq GROUP BY 1, 2""",
+    "phase_totals": _TASKS + "SELECT stage, count(*) AS tasks, sum(CASE WHEN phase = 'MAP' THEN millis ELSE 0 END) AS map_ms, sum(CASE WHEN phase = 'REDUCE' THEN millis ELSE 0 END) AS reduce_ms, CASE WHEN count(*) > 256 THEN 'TOO_MANY' ELSE 'DETAILED' END AS detail FROM tasks GROUP BY stage",
+    "stage_completeness": _TASKS + """, wanted AS (SELECT DISTINCT stage AS wanted_stage FROM tasks UNION SELECT 12), done AS (SELECT stage, min(CASE WHEN state = 'FAILED' THEN 0 ELSE 1 END) AS sound FROM tasks WHERE side = 0 GROUP BY stage)
+SELECT wanted_stage, CASE WHEN stage IS NULL THEN 'MISSING' WHEN sound = 1 THEN 'SUCCEEDED' ELSE 'FAILED' END AS verdict FROM wanted LEFT JOIN done ON stage = wanted_stage""",
 }
 
 

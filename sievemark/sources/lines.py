@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -70,11 +70,10 @@ def read_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def read_lines_native(spark: SparkSession, path: str) -> DataFrame:
-    """The same rows without Python, for files that fit a row: offsets are running sums of line lengths, in the array itself."""
+    """The same rows without Python, for files that fit a row: offsets are running sums of line lengths within a file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Latin-1 has a character for every byte, so lengths in characters are lengths in bytes
-    lines = F.split(F.decode("content", "ISO-8859-1"), "\n", -1)
-    starts = F.aggregate("lines", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x) + 1)))
-    rows = files.select("path", "length", lines.alias("lines")).select("path", "length", F.explode(F.arrays_zip(F.col("lines").alias("raw"), starts.alias("start"))).alias("z"))
-    rows = rows.where(F.col("z.raw").isNotNull() & (F.col("z.start") < F.col("length")))
-    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.col("z.start").alias("source_offset"), F.regexp_replace("z.raw", r"\r$", "").alias("raw_record"))
+    rows = files.select("path", "length", F.posexplode(F.split(F.decode("content", "ISO-8859-1"), "\n", -1)).alias("place", "raw"))
+    before = Window.partitionBy("path").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum(F.length("raw").cast("long") + 1).over(before), F.lit(0))).where("start < length")
+    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.col("start").alias("source_offset"), F.regexp_replace("raw", r"\r$", "").alias("raw_record"))

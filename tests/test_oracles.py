@@ -15,6 +15,6 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["clean_users", "clean_movies", "clean_ratings", "quality_summary", "action_counts", "validation_gates", "profile_ratings", "history_transitions", "storage_classification", "duration_distribution"])
+@pytest.mark.parametrize("name", ["clean_users", "clean_movies", "clean_ratings", "quality_summary", "action_counts", "validation_gates", "profile_ratings", "history_transitions", "storage_classification", "duration_distribution", "explore_users", "explore_movies", "explore_ratings", "bad_value_histogram", "event_gates", "backup_coverage", "action_delta"])
 def test_oracle(spark, name):
     assert compare(spark, SF, catalog.QUERIES[name], catalog.ORACLES[name]) == ""

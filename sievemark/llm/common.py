@@ -50,8 +50,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> list:
-    """Rows of the most frequent entries (column n), `most` at most: those whose n reaches the least power of two that leaves no more than that. What the driver gets has that bound, however many tasks there are."""
-    counts = written(counts, "counts")
+    """Rows of the most frequent entries (column n), `most` at most: those whose n reaches the least power of two that leaves no more than that. What the driver gets has that bound, however many tasks there are. counts: a written table, since it is read several times."""
     power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
     sizes = {r["power"]: r["count"] for r in counts.groupBy(power.alias("power")).count().collect()}  # 64 rows at most
     held, least = 0, None

@@ -14,7 +14,8 @@ Defined results. Null and empty texts score like a text without features. Withou
 Labels other than 0 and 1 and null ids are passed over; an id with several labels is toxic if one says so. Rows of the
 held-out fold are not learnt from. Repeated rows are scored one by one; a text that several labelled rows share is learnt from once for each label. Null doc_id: scored, held_out false. Other columns are not read.
 
-At scale: the language model counts all texts, with counts summed before the shuffle, and keeps its most frequent entries.
+At scale: the language model counts all texts, with counts summed before the shuffle. Its most frequent entries are kept, of
+which there are the more the more letters the corpus has (lm_entries): 140,000 for half a billion, 1.6 million for 10**14.
 Weights are fitted on a sample of SAMPLE_ROWS rows of each label at most, in expectation, chosen by a hash. Scoring is one
 pass without a shuffle.
 """
@@ -38,8 +39,10 @@ from .language_id import _sum, gram_counts
 # Letters that a sign can stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SEPARATORS = " .-_*~"
-#: Expected rows of each label that weights are fitted on, features kept, entries of the language model, labels that are broadcast at most.
-SAMPLE_ROWS, FEATURES, LM_ENTRIES, BROADCAST_LABELS = 20_000, 5_000, 100_000, 1_000_000
+#: Expected rows of each label that weights are fitted on, features kept, labels that are broadcast at most.
+SAMPLE_ROWS, FEATURES, BROADCAST_LABELS = 20_000, 5_000, 1_000_000
+#: Factor and power of the letters of a corpus that give the entries of its language model.
+LM_FACTOR, LM_POWER = 2_500, 0.2
 #: Costs of the channel, and standard errors that are taken off a weight.
 SWAP, KEEP_SIGN, DROP_SEPARATOR, KEEP_SEPARATOR, DROP_REPEAT, ERRORS = 1.0, 8.0, 0.5, 4.0, 0.5, 1.5
 _EDGE = ".,;:?\"'()[]{}<>*%&#~`…«»“”‘’-_/\\="
@@ -220,7 +223,12 @@ class Scorer:
         return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
 
 
-def language_model(docs: DataFrame, entries: int = LM_ENTRIES) -> CharModel:
+def lm_entries(letters: int) -> int:
+    """Entries of the language model of a corpus with so many letters."""
+    return int(LM_FACTOR * max(1, letters) ** LM_POWER)
+
+
+def language_model(docs: DataFrame) -> CharModel:
     """Counts of 1 to 3 letters over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +243,9 @@ def language_model(docs: DataFrame, entries: int = LM_ENTRIES) -> CharModel:
             yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n)], ["gram", "n"])
 
     grams = docs.where("text is not null").select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return CharModel({r["gram"]: r["n"] for r in most_frequent(grams, entries)})
+    grams = written(grams, "grams")
+    letters = grams.where(F.col("gram") <= _MASK).agg(F.sum("n")).first()[0] or 0
+    return CharModel({r["gram"]: r["n"] for r in most_frequent(grams, lm_entries(letters))})
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -278,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, kept: int =
             yield out()
 
         grouped = sample.where(F.col("y") == y).select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-        return {r["feature"]: r["n"] for r in most_frequent(grouped.where(F.col("n") >= least), 20 * kept)}
+        return {r["feature"]: r["n"] for r in most_frequent(written(grouped.where(F.col("n") >= least), "features"), 20 * kept)}
 
     toxic = counted(1, 3, None)
     other = counted(0, 1, frozenset(toxic))

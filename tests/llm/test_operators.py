@@ -245,6 +245,10 @@ def test_toxicity(spark):
     got = {r.doc_id: r for r in toxicity.score_toxicity(df, toxicity.fit(df, labels)).collect()}
     assert all(got[i].predicted == int(i % 4 == 0) for i in range(400))
     assert [got[i].predicted for i in (1000, 1001, 1002, 1003, 1004, 1005, None)] == [1, 1, 1, 0, 0, 0, 0]
+    sizes = [toxicity.lm_entries(10**p) for p in (0, 6, 9, 12)]
+    assert sizes == sorted(set(sizes))
+    letters = sum(c.isalpha() for _, t in rows for c in t or "")
+    assert toxicity.language_model(df).total == letters
     none = toxicity.fit(df, labels.where("false"))
     assert {r.score for r in toxicity.score_toxicity(df, none).collect()} == {0.0}
 

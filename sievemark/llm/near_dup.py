@@ -188,6 +188,9 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) ->
     rest = _unsettled(_all_members(classes), labels)
     links, labels, rest = _small(rest, sets, ids, links, labels, percent, docs)
     if rest is not None:
+        missing = written(rest.select("f", "id").distinct().join(sets.select("f"), "f", "left_anti"), "missing")  # those unlike every head
+        if not missing.isEmpty():
+            sets = written(sets.unionByName(candidate_sets(docs, missing)), "sets")
         new = written(verified(prefix_pairs(rest, sets, percent), sets, percent), "exact")
         if not new.isEmpty():
             links, labels = _joined(new, ids, links)

@@ -100,6 +100,16 @@ def test_near_dup(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_dup_unlike_every_head_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", 4)
+    whole = [f"w{i}" for i in range(200)]
+    # the whole and forty words of their own: too large to link with the whole, but in its buckets
+    rows = [(i, " ".join(whole + [f"x{i}-{j}" for j in range(40)])) for i in range(80)]
+    rows += [(500, " ".join(whole)), (501, " ".join([*whole[:-1], "changed"]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs(spark, rows)).collect()}
+    assert got[501][1] == 500 and got == brute_components(rows)
+
+
 def test_near_dup_nulls_and_repeats(spark):
     got = near_dup.near_duplicates(docs(spark, [(None, "a b c d e f"), (9, "a b c d e f"), (9, "a b c d e f"), (12, "a b c d e f")])).collect()
     assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [(0, None, True), (9, 9, True), (9, 9, True), (12, 9, False)]

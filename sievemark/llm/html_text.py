@@ -42,6 +42,8 @@ GOOD_NAME = frozenset("article body content entry main page post story text blog
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article main figcaption".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+#: Numeric references that int() refuses to read.
+_LONG_NUMBER = re.compile(r"&#([0-9]{1000,})")
 
 
 class Node:
@@ -107,6 +109,13 @@ class Builder(HTMLParser):
         else:
             self._close({tag}, BLOCK)
 
+    def parse_html_declaration(self, i):
+        """As the parser's own, but "<![" opens a comment up to the next ">", as in browsers; the parser raises at unknown ones."""
+        if self.rawdata.startswith("<![", i):
+            end = self.rawdata.find(">", i + 3)
+            return end + 1 if end >= 0 else -1
+        return super().parse_html_declaration(i)
+
     def handle_data(self, data):
         self.at.children.append(data)
 
@@ -185,16 +194,19 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
             stack += reversed(x.children)
 
 
+def _short_number(m: re.Match) -> str:
+    """The reference without leading zeros, or one beyond the last code point, which is replaced alike."""
+    digits = m[1].lstrip("0") or "0"
+    return "&#" + (digits if len(digits) < 8 else "1114112")
+
+
 def extract(html: str | None) -> str:
     """The main text of a page."""
     if not html:
         return ""
     builder = Builder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except (AssertionError, ValueError):  # declarations that the parser refuses: what came before them counts
-        pass
+    builder.feed(_LONG_NUMBER.sub(_short_number, html))
+    builder.close()
     root = builder.root
     containers = _measure(root)
     chosen: list[Node] = [root]

@@ -279,6 +279,19 @@ def test_html(html, text):
     assert html_text.extract(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p>if a <![0] b</p><p>c</p>", "if a c"),
+        ("<p>a</p><![foo[x]]><p>b</p>", "a b"),
+        ("<p>a<![if !IE]>b<![endif]>c</p><p>d</p>", "abc d"),
+        ("<p>a&#" + "9" * 5000 + ";b</p><p>c&#" + "0" * 5000 + "65;</p>", "a\ufffdb cA"),
+    ],
+)
+def test_html_goes_on_after_malformed_markup(html, text):
+    assert html_text.extract(html) == text
+
+
 def test_operators_take_awkward_rows(spark):
     df = docs(spark, AWKWARD)
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -40,6 +40,9 @@ NO_NAME = frozenset(
 )
 GOOD_NAME = frozenset("article body content entry main page post story text blog hentry".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article main figcaption".split())
+#: What noise is compounded with in names ("site-footer", "sidebar-left"); other compounds ("has-sidebar", "social-history") name no noise.
+LAYOUT_NAME = frozenset("area bar block bottom box buttons container global icons inner items left link links list outer panel posts right section site top wrap wrapper".split())
+HEADING_OR_P = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 #: Numeric references that int() refuses to read.
@@ -120,8 +123,18 @@ class Builder(HTMLParser):
         self.at.children.append(data)
 
 
+def _tokens(node: Node) -> list[str]:
+    return f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split() if node.attrs else []
+
+
 def _names(node: Node) -> set[str]:
-    return set(_NAME.findall(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower())) if node.attrs else set()
+    return {n for t in _tokens(node) for n in _NAME.findall(t)}
+
+
+def _noise_name(token: str) -> bool:
+    """Whether a class or id as a whole names noise, alone or with words of layout."""
+    pieces = set(_NAME.findall(token))
+    return bool(pieces & NO_NAME) and pieces <= NO_NAME | LAYOUT_NAME
 
 
 def _no_text(node: Node, in_article: bool) -> bool:
@@ -132,8 +145,12 @@ def _no_text(node: Node, in_article: bool) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in NO_ROLE or re.search(r"display\s*:\s*none", a.get("style", "").lower()):
         return True
-    names = _names(node)
-    return bool(names & NO_NAME) and not (node.tag == "article" and names & GOOD_NAME and not names & {"comment", "comments"}) or "header" in names and not in_article and node.tag != "article"
+    tokens = _tokens(node)
+    if "header" in tokens and not in_article and node.tag != "article":
+        return True
+    if in_article and node.tag in HEADING_OR_P or not any(_noise_name(t) for t in tokens):
+        return False
+    return not GOOD_NAME.intersection(tokens) or not {"comment", "comments"}.isdisjoint(tokens)
 
 
 def _measure(root: Node) -> list[Node]:

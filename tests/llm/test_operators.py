@@ -292,6 +292,18 @@ def test_html_goes_on_after_malformed_markup(html, text):
     assert html_text.extract(html) == text
 
 
+@pytest.mark.parametrize("attrs", ["class='content no-sidebar'", "id=content class=has-sidebar", "class='post-content share-enabled'", "class=page-with-comments", "class='content widget'"])
+def test_html_keeps_containers_whose_names_only_mention_noise(attrs):
+    body = "words, " * 40
+    page = f"<div {attrs}><p>{body}</p></div><div class='site-footer'><p>foot</p></div><div class='sidebar'><p>side</p></div>"
+    assert html_text.extract(page) == body.strip()
+
+
+def test_html_keeps_headings_and_paragraphs_of_an_article():
+    page = "<article><p>One, two.</p><h2 id=related-work>Related</h2><p id=search>Three.</p><section id=social-history><p>Four.</p></section><div class=share-buttons>Share</div></article>"
+    assert html_text.extract(page) == "One, two. Related Three. Four."
+
+
 def test_operators_take_awkward_rows(spark):
     df = docs(spark, AWKWARD)
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -35,3 +35,14 @@ def test_pipeline(spark, tmp_path):
     assert set(kept[3]) == set(kept[2]) and kept[3][103] == FR + " [SECRET]"
     assert set(kept[4]) <= set(kept[3]) and docs.where("taken <= 0").isEmpty()
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(kept[4])
+
+
+def test_language_stage_rejects_unlearnt_latin_script(spark):
+    learnt = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(1)
+    junk = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n)) for n in (5, 200, 2000)]
+    odd = [*junk, "Wczoraj wieczorem poszliśmy do lasu, żeby zebrać grzyby i jagody na zimę", "Eilen illalla menimme metsään keräämään sieniä ja marjoja talveksi"]
+    more = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(odd)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = learnt.select("doc_id", "text", "lang", "source", "n_chars").unionByName(more)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in learnt.select("doc_id", "text").collect() if any(c.isalpha() for c in r.text or "")}

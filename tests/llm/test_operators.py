@@ -54,7 +54,8 @@ def test_substring_dedup(spark, monkeypatch):
     passage = " ".join(word() for _ in range(40))
     rows = [(i, " ".join(word() for _ in range(rng.randrange(5, 40))) + (passage[rng.randrange(60) :] if i % 3 else "") + " ".join(word() for _ in range(10))) for i in range(60)]
     rows += [(100, rows[7][1]), (101, rows[7][1] + "!"), (102, "ab" * 300), (103, "z" * 250), (104, "long line of text that repeats itself, word by word, until it is longer than a hundred bytes, surely.\n" * 5), (105, None), (106, "")]
-    monkeypatch.setattr(substring_dedup, "LARGE_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup, "COMMON", 6)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substring_dedup.dedup(docs(spark, rows)).collect()}
     assert got == brute_spans([(i, (t or "").encode()) for i, t in rows])
 

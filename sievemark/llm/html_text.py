@@ -3,22 +3,25 @@
 Pages are parsed into a tree that closes what authors leave open. Subtrees that are no article text by their tag, role, class
 or id (scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts, reader comments) go first. Every paragraph
 then passes points to its ancestors: one, one for each comma, and one for each hundred characters, whole to the parent and
-less with each further level. A container's points are discounted by its link density, the share of its text inside links.
+half as much with each further level. A container's points are discounted by its link density, the share of its text inside links.
 The best container is kept, with the siblings that score a fifth as much, or read like running text.
 
 Text rules. Character references are decoded; white space inside a block becomes one space; blocks are trimmed and joined in
 page order by one space.
 
 Defined results. Null or empty html, and pages without text: the empty string. Unclosed, crossed and unknown tags are taken
-as they come; a page cut short ends where it is cut. Whole pages are parsed, however long. Repeated rows are extracted one by one; page_id and url pass through, null too. Other columns are not read.
+as they come; a page cut short ends where it is cut. A comment or declaration without its proper end ends at the next ">", so
+that what follows is read. Whole pages are parsed, however long. Repeated rows are extracted one by one; page_id and url pass through, null too. Other columns are not read.
 
-At scale: one pass over the pages without a shuffle, linear in the page.
+At scale: one pass over the pages without a shuffle. Reading and scoring are linear in the page, whatever its markup: every
+search that can fail fails once for a page, open elements are found by their depth, and points pass up in one walk.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from collections.abc import Iterator
+from html import unescape
 
 from pyspark.sql import DataFrame
 
@@ -42,20 +45,29 @@ GOOD_NAME = frozenset("article body content entry main page post story text blog
 PARAGRAPH = frozenset("p pre td blockquote li dd div section article main figcaption".split())
 #: What noise is compounded with in names ("site-footer", "sidebar-left"); other compounds ("has-sidebar", "social-history") name no noise.
 LAYOUT_NAME = frozenset("area bar block bottom box buttons container global icons inner items left link links list outer panel posts right section site top wrap wrapper".split())
-HEADING_OR_P = frozenset("p h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 #: Numeric references that int() refuses to read.
 _LONG_NUMBER = re.compile(r"&#([0-9]{1000,})")
 
 
+_TAG = re.compile(r"[A-Za-z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?""")
+_TAG_END = re.compile(r"[\s/]*+>?")
+_COMMENT_END = re.compile(r"--!?>")
+#: Elements whose content is text up to their own end tag.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in ("script", "style", "title", "textarea")}
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "points", "chars", "linked", "dropped")
+    __slots__ = ("tag", "attrs", "children", "parent", "points", "chars", "linked", "own", "commas", "dropped", "scored")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
-        self.points, self.chars, self.linked, self.dropped = 0.0, 0, 0, False
+        self.points, self.chars, self.linked, self.own, self.commas = 0.0, 0, 0, 0, 0  # own, commas: of the text outside inner blocks
+        self.dropped = self.scored = False
 
     @property
     def density(self) -> float:
@@ -66,61 +78,135 @@ class Node:
         return self.points * (1 - self.density)
 
 
-class Builder(HTMLParser):
+def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
+    """("text", characters, {}), ("start", tag, attributes) and ("end", tag, {}) in page order. What looks like no tag is text; comments, declarations and the content of scripts and the like are passed over."""
+    at, size = 0, len(page)
+    missing: set[str] = set()  # ends that do not occur in the rest of the page
+
+    def after(end: str | re.Pattern, start: int) -> int:
+        """Where the rest begins after the next such end; -1 if there is none."""
+        name = end if isinstance(end, str) else end.pattern
+        if name in missing:
+            return -1
+        if isinstance(end, str):
+            found = page.find(end, start)
+            found = found + len(end) if found >= 0 else -1
+        else:
+            m = end.search(page, start)
+            found = m.end() if m else -1
+        if found < 0:
+            missing.add(name)
+        return found
+
+    while at < size:
+        mark = page.find("<", at)
+        if mark < 0:
+            yield "text", unescape(page[at:]), {}
+            return
+        closing = page.startswith("</", mark)
+        name = _TAG.match(page, mark + 1 + closing)
+        if name is None and not page.startswith(("<!", "<?", "</"), mark):
+            yield "text", unescape(page[at : mark + 1]), {}
+            at = mark + 1
+            continue
+        if mark > at:
+            yield "text", unescape(page[at:mark]), {}
+        if name is None:
+            at = -1
+            if page.startswith("<!--", mark):
+                at = mark + 5 if page.startswith("<!-->", mark) else mark + 6 if page.startswith("<!--->", mark) else after(_COMMENT_END, mark + 4)
+            if at < 0:
+                at = after(">", mark + 2)
+            if at < 0:
+                return
+            continue
+        tag, at, attrs = name[0].lower(), name.end(), {}
+        while m := _ATTRIBUTE.match(page, at):
+            value = m[2] or ""
+            attrs.setdefault(m[1].lower(), unescape(value[1:-1] if value[:1] in ('"', "'") else value))
+            at = m.end()
+        at = _TAG_END.match(page, at).end()
+        if page[at - 1] != ">":  # the page ends within the tag
+            return
+        if closing:
+            yield "end", tag, {}
+            continue
+        yield "start", tag, attrs
+        if tag in RAW:
+            end = after(RAW[tag], at)
+            if end >= 0:
+                at = after(">", end)
+            elif tag in ("script", "style"):
+                return
+            yield "end", tag, {}
+            if at < 0:
+                return
+
+
+class Builder:
+    """Builds the tree, closing what authors leave open. For every tag, and for blocks and what ends the search for a paragraph, the depths at which it is open are kept, so that nothing has to be walked through."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("html", {}, None)
-
-    def _close(self, tags: set[str] | frozenset[str], scope: set[str] | frozenset[str]) -> bool:
-        """Closes the innermost open element of these tags, unless one of scope comes first."""
-        node = self.at
-        while node.parent is not None:
-            if node.tag in tags:
-                self.at = node.parent
-                return True
-            if node.tag in scope:
-                return False
-            node = node.parent
-        return False
+        self.root = Node("html", {}, None)
+        self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}
+
+    def _groups(self, tag: str) -> list[list[int]]:
+        names = [tag]
+        if tag in BLOCK:
+            names.append("#block")
+        if tag in P_SCOPE:
+            names.append("#p")
+        return [self.depths.setdefault(n, []) for n in names]
+
+    def _innermost(self, tags) -> int:
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
+
+    def _close(self, tags, scope) -> bool:
+        """Closes the innermost open element of these tags, unless one of scope lies in it."""
+        depth = self._innermost(tags)
+        if not depth or depth < self._innermost(scope):
+            return False
+        while len(self.open) > depth:
+            for held in self._groups(self.open.pop().tag):
+                held.pop()
+        return True
 
-    def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and self.at.tag in ("html", "body"):
-            if tag == "html" or self.at.tag == "body":
+    def start(self, tag: str, attrs: dict[str, str]) -> None:
+        if tag in ("html", "body") and self.open[-1].tag in ("html", "body"):
+            if tag == "html" or self.open[-1].tag == "body":
                 return
         if tag in ENDS_P:
-            self._close({"p"}, P_SCOPE)
+            self._close(("p",), ("#p",))
         if tag in CLOSES:
             while self._close(CLOSES[tag], SCOPE[tag]):
                 pass
-        if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", self.at.tag):
-            self.at = self.at.parent
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
+        if tag in HEADINGS and self.open[-1].tag in HEADINGS:
+            self._close((self.open[-1].tag,), ())
+        node = Node(tag, attrs, self.open[-1])
+        node.parent.children.append(node)
         if tag not in VOID:
-            self.at = node
+            for held in self._groups(tag):
+                held.append(len(self.open))
+            self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in ("script", "style"):
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if tag == "br":
-            self.at.children.append(Node("br", {}, self.at))
+            self.open[-1].children.append(Node("br", {}, self.open[-1]))
         elif tag in BLOCK:
-            self._close({tag}, SCOPE.get(tag, frozenset()))
+            self._close((tag,), SCOPE.get(tag, ()))
         else:
-            self._close({tag}, BLOCK)
-
-    def parse_html_declaration(self, i):
-        """As the parser's own, but "<![" opens a comment up to the next ">", as in browsers; the parser raises at unknown ones."""
-        if self.rawdata.startswith("<![", i):
-            end = self.rawdata.find(">", i + 3)
-            return end + 1 if end >= 0 else -1
-        return super().parse_html_declaration(i)
+            self._close((tag,), ("#block",))
 
-    def handle_data(self, data):
-        self.at.children.append(data)
+    def read(self, page: str) -> Node:
+        for kind, what, attrs in tokens(page):
+            if kind == "text":
+                self.open[-1].children.append(what)
+            elif kind == "start":
+                self.start(what, attrs)
+            else:
+                self.end(what)
+        return self.root
 
 
 def _tokens(node: Node) -> list[str]:
@@ -148,7 +234,8 @@ def _no_text(node: Node, in_article: bool) -> bool:
     tokens = _tokens(node)
     if "header" in tokens and not in_article and node.tag != "article":
         return True
-    if in_article and node.tag in HEADING_OR_P or not any(_noise_name(t) for t in tokens):
+    # names tell of containers; a paragraph or heading is named for what it says
+    if node.tag == "p" or node.tag in HEADINGS or not any(_noise_name(t) for t in tokens):
         return False
     return not GOOD_NAME.intersection(tokens) or not {"comment", "comments"}.isdisjoint(tokens)
 
@@ -166,34 +253,37 @@ def _measure(root: Node) -> list[Node]:
         in_link |= node.tag == "a"
         order.append((node, in_article, in_link))
         stack += [(x, in_article, in_link) for x in node.children if isinstance(x, Node)]
-    scored: dict[int, Node] = {}
+    containers: list[Node] = []
     for node, _, in_link in reversed(order):
-        own, commas, blocks = 0, 0, False
         for x in node.children:
             if isinstance(x, str):
                 n = len(_SPACE.sub(" ", x).strip())
                 node.chars += n
                 node.linked += n if in_link else 0
-                own += n
-                commas += x.count(",")
+                node.own += n
+                node.commas += x.count(",")
             elif not x.dropped:
                 node.chars += x.chars
                 node.linked += x.linked
                 if x.tag not in BLOCK:
-                    own += x.chars
-                    commas += sum(y.count(",") for y in x.children if isinstance(y, str))
-        if node.tag in PARAGRAPH and own > 0:
-            points = (1 + commas + min(own // 100, 30)) * (1 - node.density)
-            up, share = node.parent if node.tag not in ("article", "main") else node, 1.0
-            level = 0
-            while up is not None:
-                up.points += points * share
-                scored[id(up)] = up
-                up, level = up.parent, level + 1
-                share = 1 / (2 * level)
-    for node in scored.values():
+                    node.own += x.own
+                    node.commas += x.commas
+        passed, at_all = node.points / 2, node.scored
+        if node.tag in PARAGRAPH and node.own > 0:
+            points, at_all = (1 + node.commas + node.own // 100) * (1 - node.density), True
+            if node.tag in ("article", "main"):
+                node.points, node.scored = node.points + points, True
+                passed += points / 2
+            else:
+                passed += points
+        if at_all and node.parent is not None:
+            node.parent.points += passed
+            node.parent.scored = True
+        if node.scored:
+            containers.append(node)
+    for node in containers:
         node.points += {"article": 25, "main": 15}.get(node.tag, 0) + (10 if _names(node) & GOOD_NAME and node.tag != "body" else 0)
-    return list(scored.values())
+    return containers
 
 
 def _blocks(node: Node, out: list[list[str]]) -> None:
@@ -221,14 +311,11 @@ def extract(html: str | None) -> str:
     """The main text of a page."""
     if not html:
         return ""
-    builder = Builder()
-    builder.feed(_LONG_NUMBER.sub(_short_number, html))
-    builder.close()
-    root = builder.root
+    root = Builder().read(_LONG_NUMBER.sub(_short_number, html))
     containers = _measure(root)
     chosen: list[Node] = [root]
     if containers:
-        best = max(containers, key=lambda n: n.score)
+        best = max(reversed(containers), key=lambda n: n.score)  # of equal ones the outermost, which holds the others
         chosen = [best]
         if best.parent is not None and best.tag not in ("body", "html"):
             least = max(10.0, best.score / 5)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import uuid
 from collections import Counter
 
@@ -287,6 +288,12 @@ def test_html(html, text):
         ("<p>a</p><![foo[x]]><p>b</p>", "a b"),
         ("<p>a<![if !IE]>b<![endif]>c</p><p>d</p>", "abc d"),
         ("<p>a&#" + "9" * 5000 + ";b</p><p>c&#" + "0" * 5000 + "65;</p>", "a\ufffdb cA"),
+        ("<p>one here</p><![foo[x]]><p>two</p>", "one here two"),
+        ("one <!-- unclosed <p>two", "one two"),
+        ("<p>a<!-->b<!---->c<!-- > -->d<?php x ?>e</p>", "abcde"),
+        ("<p>x <a href='q>r</a> z</p><p>w</p>", "x r z w"),
+        ("<p>1 < 2 and </3> so &lt;</p><p>end <a href=", "1 < 2 and so < end"),
+        ("<title>open title<p>text", "open title text"),
     ],
 )
 def test_html_goes_on_after_malformed_markup(html, text):
@@ -300,6 +307,75 @@ def test_html_keeps_containers_whose_names_only_mention_noise(attrs):
     assert html_text.extract(page) == body.strip()
 
 
+def naive_points(root):
+    """Points, characters and link characters of every node that scoring keeps, each paragraph walking up by itself."""
+    found = {}
+
+    def text(node, inline_only):
+        for c in node.children:
+            if isinstance(c, str):
+                yield c
+            elif id(c) in alive and not (inline_only and c.tag in html_text.BLOCK):
+                yield from text(c, inline_only)
+
+    def linked(node, inside):
+        inside |= node.tag == "a"
+        return sum((html_text_len(c) if inside else 0) if isinstance(c, str) else linked(c, inside) for c in node.children if isinstance(c, str) or id(c) in alive)
+
+    def html_text_len(t):
+        return len(" ".join(t.split()))
+
+    alive, nodes = set(), []
+
+    def walk(node, in_article, in_link):
+        if node.parent is not None and html_text._no_text(node, in_article):
+            return
+        alive.add(id(node))
+        nodes.append((node, in_link))
+        for c in node.children:
+            if not isinstance(c, str):
+                walk(c, in_article or node.tag in ("article", "main"), in_link or node.tag == "a")
+
+    walk(root, False, False)
+    for node, in_link in nodes:
+        chars = sum(map(html_text_len, text(node, False)))
+        found[id(node)] = [0.0, chars, linked(node, in_link)]
+    for node, _ in nodes:
+        own = list(text(node, True))
+        size = sum(map(html_text_len, own))
+        if node.tag in html_text.PARAGRAPH and size:
+            _, chars, links = found[id(node)]
+            points = (1 + sum(t.count(",") for t in own) + size // 100) * (1 - links / chars)
+            up = node if node.tag in ("article", "main") else node.parent
+            while up is not None:
+                found[id(up)][0] += points
+                points, up = points / 2, up.parent
+    return found, nodes
+
+
+def test_html_scores_equal_a_naive_walk():
+    rng = random.Random(11)
+    tags = "div p span a b ul li article section h2 table tr td nav blockquote main br".split()
+    for _ in range(150):
+        page = "".join(rng.choice([f"<{t}>", f"<{t}>", f"</{t}>", "words, and more ", "x " * rng.randrange(120), f"<{t} class='{rng.choice(['nav', 'content', 'sidebar left', 'x'])}'>"]) for t in (rng.choice(tags) for _ in range(rng.randrange(60))))
+        want, nodes = naive_points(html_text.Builder().read(page))
+        tree = html_text.Builder().read(page)
+        html_text._measure(tree)
+        again = [n for n, _ in naive_points(tree)[1]]
+        for (a, _), b in zip(nodes, again, strict=True):
+            bonus = {"article": 25, "main": 15}.get(b.tag, 0) + (10 if html_text._names(b) & html_text.GOOD_NAME and b.tag != "body" else 0)
+            points, chars, links = want[id(a)]
+            assert (b.chars, b.linked) == (chars, links) and abs(b.points - (points + bonus if b.scored else 0.0)) < 1e-9
+
+
+def test_html_takes_long_and_broken_pages_in_linear_time():
+    pages = ["<div>ab " * 120_000, "<b>" * 90_000 + "<hr>" * 90_000, "<!-- x>y" * 120_000, "<a " * 300_000, '<a b="c' * 140_000, "<title>" * 140_000, "<p><button>" + "<b>" * 90_000 + "<hr>" * 90_000]
+    for page in pages:
+        began = time.process_time()
+        html_text.extract(page)
+        assert time.process_time() - began < 8
+
+
 def test_html_keeps_headings_and_paragraphs_of_an_article():
     page = "<article><p>One, two.</p><h2 id=related-work>Related</h2><p id=search>Three.</p><section id=social-history><p>Four.</p></section><div class=share-buttons>Share</div></article>"
     assert html_text.extract(page) == "One, two. Related Three. Four."

@@ -5,8 +5,10 @@ or more), `access` (AKIA and capitals or digits, 18 or more in all), `hex` (16 o
 `entropy` spans are added by the method: in every candidate string a window of fixed width slides over one character at a
 time; the counts of the window are updated for the character that enters and the one that leaves, and with them the sum of
 n log n from which the entropy follows. Windows at or above the threshold of the candidate's character class are hot; each
-maximal run of overlapping hot windows is a span. Candidates on the allow-list, and candidates of one kind of letter alone
-(words), are suppressed.
+maximal run of overlapping hot windows is a span. The allow-list suppresses whole candidates that are UUIDs or numbers, spans
+all of whose segments (between separators) are words, short numbers, or say that they are placeholders. A word is
+letters of one case, perhaps capitalised, or such words run together as in CamelCase: a secret of lower-case letters alone
+cannot be told from a long word by its entropy, one of mixed letters can.
 
 Defined results. Null text is empty. An empty text has no spans. Repeated rows are scanned one by one. doc_id passes through, null too. Other columns are not read. Spans count code points, end exclusive, and are ordered by start, then kind as listed.
 
@@ -34,21 +36,33 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Characters of a window.
 WIDTH = 20
 #: Least entropy, in bits a character, of a hot window, by the candidate's character class.
-THRESHOLDS = {"hex": 3.0, "alphanumeric": 3.6, "base64": 3.7}
+THRESHOLDS = {"hex": 3.0, "letters": 3.8, "alphanumeric": 3.6, "base64": 3.7}
 #: Whole candidates that are well known or structured rather than secret.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"[0-9+_=/-]+"),  # numbers, dates, rules
-    re.compile(r"(?:[A-Za-z]+[_/=+-]+)*[A-Za-z]+[_/=+-]*[0-9]{0,4}"),  # words, joined words, a year after them
-    re.compile(r"(?i:.*(?:example|placeholder|changeme|your).*)"),
 )
+SEPARATOR = re.compile(r"[_/=+-]+")
+ALLOWED_SEGMENT = re.compile(r"(?:[A-Za-z]?[a-z]*|[A-Z]+|[A-Za-z]?[a-z]+(?:[A-Z][a-z]+[a-z])*[A-Z]?)(?:[0-9]{1,4})?")
+PLACEHOLDER = re.compile(r"example|placeholder|changeme|your", re.IGNORECASE)
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, WIDTH + 1)]
 
 
 def character_class(candidate: str) -> str:
     if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", candidate):
         return "hex"
-    return "alphanumeric" if candidate.isalnum() else "base64"
+    return "letters" if candidate.isalpha() else "alphanumeric" if candidate.isalnum() else "base64"
+
+
+def allowed(candidate: str, start: int, end: int) -> bool:
+    """Whether the allow-list suppresses this span of a candidate."""
+    at = 0
+    for m in [*SEPARATOR.finditer(candidate), None]:
+        stop = m.start() if m else len(candidate)
+        if at < end and start < stop and not ALLOWED_SEGMENT.fullmatch(candidate, at, stop) and not PLACEHOLDER.search(candidate, at, stop):
+            return False
+        at = m.end() if m else stop
+    return True
 
 
 def hot_spans(candidate: str, threshold: float, width: int = WIDTH) -> list[tuple[int, int]]:
@@ -87,9 +101,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
         word = m[0]
-        if word.isalpha() or any(x.fullmatch(word) for x in ALLOWED):
+        if ALLOWED_SEGMENT.fullmatch(word) or any(x.fullmatch(word) for x in ALLOWED):
             continue
-        found += [(m.start() + a, m.start() + b, 3) for a, b in hot_spans(word, THRESHOLDS[character_class(word)])]
+        found += [(m.start() + a, m.start() + b, 3) for a, b in hot_spans(word, THRESHOLDS[character_class(word)]) if not allowed(word, a, b)]
     found.sort(key=lambda x: (x[0], x[2], x[1]))
     return [(a, b, KINDS[k]) for a, b, k in found]
 

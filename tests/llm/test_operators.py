@@ -231,6 +231,101 @@ def test_secrets(spark):
     assert {r.doc_id: r.text for r in red.collect()} == {1: "a [SECRET] b", 2: None, 3: "clean"}
 
 
+def naive_base(text):
+    """The base spans, character by character."""
+    found, low = [], text.lower()
+    names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    i = 0
+    while i < len(text):
+        name = next((n for n in names if low.startswith(n, i)), None)
+        if name is None:
+            i += 1
+            continue
+        j = i + len(name)
+        j += j < len(text) and text[j] in "\"'"
+        while j < len(text) and text[j] == " ":
+            j += 1
+        if j == len(text) or text[j] not in ":=":
+            i += 1
+            continue
+        j += 1
+        while j < len(text) and text[j] == " ":
+            j += 1
+        j += j < len(text) and text[j] in "\"'"
+        k = j
+        while k < len(text) and text[k] in value:
+            k += 1
+        if k == j:  # the value needs a character; a second sign, as in "a==b", may be part of it
+            i += 1
+            continue
+        if k - j >= 12:
+            found.append((i, k, "assign"))
+        i = k
+    for kind, first, chars, least in (("access", "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 18), ("hex", "", "0123456789abcdef", 16)):
+        i = 0
+        while i < len(text):
+            k = i + len(first) if text.startswith(first, i) else i
+            if text.startswith(first, i) and k < len(text) and text[k] in chars:
+                while k < len(text) and text[k] in chars:
+                    k += 1
+                if k - i >= least:
+                    found.append((i, k, kind))
+                i = k
+            else:
+                i += 1
+    return sorted(found, key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+
+
+def naive_entropy(text):
+    """The entropy spans, each window counted anew."""
+    found, chars = [], set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+    i = 0
+    while i < len(text):
+        k = i
+        while k < len(text) and text[k] in chars:
+            k += 1
+        if k - i < 20:
+            i = max(i + 1, k)
+            continue
+        start, word = i, text[i:k]
+        i = k
+        word += "=" * min(2, len(text[k:]) - len(text[k:].lstrip("=")))
+        if any(x.fullmatch(word) for x in secrets.ALLOWED):
+            continue
+        least = secrets.THRESHOLDS[secrets.character_class(word)]
+        hot = [a for a in range(len(word) - 19) if -sum(n / 20 * np.log2(n / 20) for n in Counter(word[a : a + 20]).values()) >= least - 1e-9]
+        runs = []
+        for a in hot:
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = a + 20
+            else:
+                runs.append([a, a + 20])
+        found += [(start + a, start + b, "entropy") for a, b in runs if not secrets.allowed(word, a, b)]
+    return found
+
+
+def test_secrets_equal_a_naive_scanner():
+    rng = random.Random(12)
+    pieces = ["password", "PASSWD", "secret", "Token", "api_key", "apikey", "AKIA", "=", ":", "'", '"', " ", "  ", "\n", "é", "abc", "ABC123", "0123456789abcdef", "deadbeef", "-", "_", "/", "+", ".", "kJ8sP2qLx9Zt4Vb7", "XyQwErTyUiOpAsDf", "the words", "your", "sk_live_"]
+    for n in range(6000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        if n % 3 == 0:
+            text += "".join(rng.choice("abcdefABCDEF0123456789+/_-=") for _ in range(rng.randrange(60)))
+        got = secrets.scan(text)
+        assert [s for s in got if s[2] != "entropy"] == naive_base(text), text
+        assert [s for s in got if s[2] == "entropy"] == naive_entropy(text), text
+
+
+def test_secrets_of_letters_and_allow_list():
+    kinds = lambda t: [s[2] for s in secrets.scan(t)]
+    assert kinds("see kJhsPgqLxUZtRVbNwyRfYcQm there") == ["entropy"]
+    assert kinds("sk_live_kJhsPgqLxUZtRVbNwyRf") == ["entropy"]
+    assert kinds("the path yourhome/kJ8sP2qLx9Zt4Vb7Nw3RfYc6Qm1") == ["entropy"]
+    for clean in ("Donaudampfschifffahrtsgesellschaft", "getElementsByTagNameAndClassName", "some_long_snake_case_identifier_2024", "https/www-site-org/path/to/some-page-name", "INTERNATIONALIZATION_SETTINGS", "YOUR_API_KEY_HERE_PLEASE", "this-is/xEXAMPLEkJ8sP2qLx9Zt4"):
+        assert kinds(clean) == []
+
+
 def test_language_id(spark):
     en, fr = "the cat and the dog went to the house with that thing ", "le chat et le chien sont dans la maison avec une chose que "
     rows = [(i, (en if i % 2 else fr) * (1 + i % 4), "en" if i % 2 else "fr") for i in range(80)] + [(100, None, "en"), (101, "123 !!", "fr"), (102, "", None), (None, en, "en")]

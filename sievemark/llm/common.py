@@ -49,23 +49,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def most_frequent(counts: DataFrame, most: int) -> list:
-    """Rows of the most frequent entries (column n), `most` at most: those whose n reaches the least power of two that leaves no more than that. What the driver gets has that bound, however many tasks there are. counts: a written table, since it is read several times."""
-    power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
-    sizes = {r["power"]: r["count"] for r in counts.groupBy(power.alias("power")).count().collect()}  # 64 rows at most
-    held, least = 0, None
-    for p in sorted(sizes, reverse=True):
-        held += sizes[p]
-        if held > most:
-            break
-        least = p
-    if not sizes:
-        return []
-    if least is None:  # the highest power alone is too many
-        return counts.where(power == max(sizes)).orderBy(F.desc("n"), *counts.columns).limit(most).collect()
-    return counts.where(power >= least).collect()
-
-
 def remainder(doc_id: Column, of: int = 5) -> Column:
     """crc32 of the id as text, modulo `of`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % of

@@ -6,18 +6,19 @@ word with look-alikes, single letters in a row, a letter three times or more) be
 meant, and the Viterbi algorithm finds the reading with the least cost of channel and character language model (trigrams,
 backed off). Other words have one reading and stay.
 
-Score. Features are the distinct words of the restored text and their first four and five letters. A feature weighs its log
-ratio of frequency in toxic and other documents, less one and a half standard errors; only features that weigh for toxicity
-count. A text is as toxic as its heaviest feature, whose weight passes through a logistic curve fitted to the labels.
+Score. The restored text is what is scored. Its features are its distinct words. A word weighs its log ratio of frequency in
+toxic and other documents, less two and a half standard errors, and counts if it weighs for toxicity. A text's evidence is
+twofold: its heaviest word, which does not depend on its length, and the weight of all its words over the square root of their
+number, since the weights that chance gives to many words add up like that. Both pass through a logistic curve fitted to the labels.
 
 Defined results. Null and empty texts score like a text without features. Without usable labels of both kinds all scores are 0.
 Labels other than 0 and 1 and null ids are passed over; an id with several labels is toxic if one says so. Rows of the
 held-out fold are not learnt from. Repeated rows are scored one by one; a text that several labelled rows share is learnt from once for each label. Null doc_id: scored, held_out false. Other columns are not read.
 
-At scale: the language model counts all texts, with counts summed before the shuffle. Its most frequent entries are kept, of
-which there are the more the more letters the corpus has (lm_entries): 140,000 for half a billion, 1.6 million for 10**14.
-Weights are fitted on a sample of SAMPLE_ROWS rows of each label at most, in expectation, chosen by a hash. Scoring is one
-pass without a shuffle.
+At scale: the language model counts all texts over an alphabet of 128 symbols (space, the small Latin letters up to U+017F, and
+one symbol for all other letters, which no sign stands for), so that its entries grow with the corpus but have 128 ** 3 as
+their bound whatever the scripts; counts are summed before the shuffle. Weights are fitted on a sample of SAMPLE_ROWS rows of
+each label at most, in expectation, chosen by a hash; all words of the sample can be features. Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -27,54 +28,108 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, most_frequent, remainder, written
-from .language_id import _sum, gram_counts
+from .common import held_out, remainder, written
 
 # Letters that a sign can stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SEPARATORS = " .-_*~"
-#: Expected rows of each label that weights are fitted on, features kept, labels that are broadcast at most.
-SAMPLE_ROWS, FEATURES, BROADCAST_LABELS = 20_000, 5_000, 1_000_000
-#: Factor and power of the letters of a corpus that give the entries of its language model.
-LM_FACTOR, LM_POWER = 2_500, 0.2
+#: Expected rows of each label that weights are fitted on, and labels that are broadcast at most.
+SAMPLE_ROWS, BROADCAST_LABELS = 20_000, 1_000_000
 #: Costs of the channel, and standard errors that are taken off a weight.
-SWAP, KEEP_SIGN, DROP_SEPARATOR, KEEP_SEPARATOR, DROP_REPEAT, ERRORS = 1.0, 8.0, 0.5, 4.0, 0.5, 1.5
+SWAP, KEEP_SIGN, DROP_SEPARATOR, KEEP_SEPARATOR, DROP_REPEAT, ERRORS = 1.0, 8.0, 0.5, 4.0, 0.5, 2.5
 _EDGE = ".,;:?\"'()[]{}<>*%&#~`…«»“”‘’-_/\\="
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*~]){3,}[^\W_](?!\w)")
 _RUN = re.compile(r"([^\W\d_])\1\1")
-_MASK = (1 << 21) - 1
+_LETTERS = [c for c in map(chr, range(0x180)) if c.isalpha() and c == c.lower() != c.upper()]
+_OTHER, _BITS = 127, 7
+#: Characters that are counted at a time, and entries of the model of each order.
+CHUNK, SIZES = 1 << 20, [1 << _BITS * n for n in (1, 2, 3)]
+_SYMBOL: np.ndarray | None = None
+
+
+def symbols(text: str) -> np.ndarray:
+    """The symbol of every character: 0 for what is no letter."""
+    global _SYMBOL
+    if _SYMBOL is None:
+        table = np.fromiter((_OTHER * chr(c).isalpha() for c in range(0x110000)), np.int32, 0x110000)
+        table[[ord(c) for c in _LETTERS]] = np.arange(1, len(_LETTERS) + 1)
+        _SYMBOL = table
+    return _SYMBOL[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+
+
+class Counts:
+    """Counts of 1 to 3 symbols in a row over texts; runs of other characters are one space, and none of three has it in the middle."""
+
+    def __init__(self):
+        self.of = [np.zeros(n, np.int64) for n in SIZES]
+
+    def add(self, text: str) -> None:
+        tail = np.zeros(2, np.int32)
+        for start in range(0, len(text), CHUNK):
+            end = start + CHUNK
+            tail = self._add(tail, symbols(text[start:end].lower() + " " * (end >= len(text))))
+
+    def _add(self, tail: np.ndarray, new: np.ndarray) -> np.ndarray:
+        kept = new != 0
+        kept[1:] |= new[:-1] != 0
+        kept[0] |= tail[1] != 0
+        a = np.concatenate([tail, new[kept]])
+        z, y, x = a[2:], a[1:-1], a[:-2]
+        self.of[0] += np.bincount(z[z != 0], minlength=SIZES[0])
+        self.of[1] += np.bincount(y << _BITS | z, minlength=SIZES[1])
+        own = y != 0
+        codes, n = np.unique((x << 2 * _BITS | y << _BITS | z)[own], return_counts=True)
+        self.of[2][codes] += n
+        return a[-2:]
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes (order and symbols) and counts of what occurs."""
+        found = [np.flatnonzero(c) for c in self.of]
+        return np.concatenate([f + (k << 32) for k, f in enumerate(found)]), np.concatenate([c[f] for c, f in zip(self.of, found, strict=True)])
 
 
 @dataclass
 class CharModel:
-    """Costs (negative natural logs) of a character after two others, from counts of n-grams packed 21 bits a letter."""
+    """Costs (negative natural logs) of a character after two others, from the entries of Counts."""
 
-    counts: dict[int, int]
-    total: float = 0.0
+    codes: np.ndarray
+    counts: np.ndarray
     cache: dict[tuple[str, str, str], float] = field(default_factory=dict)
-    after: dict[int, int] = field(default_factory=dict)
 
-    def __post_init__(self):
-        for code, n in self.counts.items():
-            if code <= _MASK:
-                self.total += n
-            else:
-                self.after[code >> 21] = self.after.get(code >> 21, 0) + n
+    @cached_property
+    def tables(self) -> tuple:
+        """Counts of 1, 2 and 3 symbols, and of what begins with 1 and 2."""
+        of = [np.zeros(n, np.int64) for n in SIZES]
+        for k, c in enumerate(of):
+            own = self.codes >> 32 == k
+            c[self.codes[own] & (1 << 32) - 1] = self.counts[own]
+        side = SIZES[0]
+        return (*of, of[1].reshape(side, side).sum(1), of[2].reshape(side * side, side).sum(1))
+
+    @property
+    def total(self) -> int:
+        return int(self.tables[0].sum())
+
+    def __getstate__(self):
+        return {"codes": self.codes, "counts": self.counts, "cache": {}}
 
     def cost(self, a: str, b: str, c: str) -> float:
         key = (a, b, c)
         known = self.cache.get(key)
         if known is None:
-            x, y, z = ord(a), ord(b), ord(c)
-            one = (self.counts.get(z, 0) + 0.5) / (self.total + 1000.0)
-            two = (self.counts.get(y << 21 | z, 0) + 5 * one) / (self.after.get(y, 0) + 5)
-            three = (self.counts.get(x << 42 | y << 21 | z, 0) + 5 * two) / (self.after.get(x << 21 | y, 0) + 5)
+            x, y, z = symbols(a + b + c).tolist()
+            ones, twos, threes, after_one, after_two = self.tables
+            pair = x << _BITS | y
+            one = (int(ones[z]) + 0.5) / (int(ones.sum()) + 1000.0)
+            two = (int(twos[y << _BITS | z]) + 5 * one) / (int(after_one[y]) + 5)
+            three = (int(threes[pair << _BITS | z]) + 5 * two) / (int(after_two[pair]) + 5)
             known = self.cache[key] = -math.log(three)
             if len(self.cache) > 500_000:
                 self.cache.clear()
@@ -131,20 +186,26 @@ def decode(observed: str, model: CharModel) -> str:
     return "".join(reversed(letters))
 
 
+class _Remembered(dict):
+    """A function of words that remembers what it has said, up to a bound."""
+
+    def __init__(self, fn, most: int = 200_000):
+        super().__init__()
+        self.fn, self.most = fn, most
+
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        said = self[word] = self.fn(word)
+        return said
+
+
 class Restorer:
-    """Restores words and texts; remembers the words it has seen, up to a bound."""
+    """Restores words and texts."""
 
     def __init__(self, model: CharModel):
-        self.model, self.seen = model, {}
-
-    def word(self, word: str) -> str:
-        """A lower-case word without spaces, restored and freed of marks at its edges."""
-        known = self.seen.get(word)
-        if known is None:
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            known = self.seen[word] = self._word(word)
-        return known
+        self.model = model
+        self.cores, self.wholes = _Remembered(self._word), _Remembered(self._whole)
 
     def _word(self, word: str) -> str:
         core = word
@@ -165,87 +226,70 @@ class Restorer:
             return decode(core, self.model)
         return core
 
-    def words(self, text: str | None) -> set[str]:
-        """The distinct words of the restored text."""
-        low = (text or "").lower()
+    def _whole(self, word: str) -> str:
+        """A word of a text, restored where its core is; the marks around an unchanged core stay."""
+        if word.isalpha() and not _RUN.search(word):
+            return word
+        new = self.cores[word]
+        return word if not new or new == word.strip(_EDGE) else new
+
+    def text(self, text: str | None) -> str:
+        """The whole text in lower case, suspicious stretches restored, with single spaces between words."""
+        low = _SPACED.sub(lambda m: decode(m[0], self.model), (text or "").lower())
+        return " ".join(map(self.wholes.__getitem__, low.split()))
+
+    def words(self, restored: str) -> set[str]:
+        """The distinct words of a restored text, freed of marks at their edges."""
         out = set()
-        for word in set(low.split()):
-            if word.isalpha() and not (len(word) > 2 and _RUN.search(word)):
+        for word in set(restored.split()):
+            if word.isalpha():
                 out.add(word)
             else:
-                out.update(self.word(word).split())
-        for m in _SPACED.finditer(low):
-            out.update(decode(m[0], self.model).split())
+                out.update(self.cores[word].split())
         out.discard("")
         return out
 
-    def text(self, text: str | None) -> str:
-        """The whole text in lower case, suspicious stretches restored."""
-        low = _SPACED.sub(lambda m: decode(m[0], self.model), (text or "").lower())
-        return re.sub(r"\S+", lambda m: m[0] if m[0].isalpha() and not _RUN.search(m[0]) else self._inside(m[0]), low)
-
-    def _inside(self, word: str) -> str:
-        new = self.word(word)
-        return word if new == word.strip(_EDGE) or not new else new
-
-
-def features(words: set[str]) -> set[str]:
-    out = set(words)
-    out.update("^" + w[:4] for w in words if len(w) > 4)
-    out.update("^" + w[:5] for w in words if len(w) > 5)
-    return out
-
 
 @dataclass
 class Scorer:
+    """slopes, offset: of the logistic curve over the two kinds of evidence."""
+
     model: CharModel
     weights: dict[str, float]
-    slope: float = 0.0
+    slopes: tuple[float, float] = (0.0, 0.0)
     offset: float = -745.0
 
     def __post_init__(self):
         self.restorer = Restorer(self.model)
 
-    def evidence(self, text: str | None) -> float:
-        """The weight of the heaviest feature, which does not grow with the length of a text as a sum would."""
-        weights = self.weights
-        most = 0.0
-        for w in self.restorer.words(text):
-            most = max(most, weights.get(w, 0.0))
-            if len(w) > 4:
-                most = max(most, weights.get("^" + w[:4], 0.0))
-                if len(w) > 5:
-                    most = max(most, weights.get("^" + w[:5], 0.0))
-        return most
+    def evidence(self, text: str | None) -> tuple[float, float]:
+        """Of the restored text, the weight of the heaviest word, and of all words over the square root of their number."""
+        words = self.restorer.words(self.restorer.text(text))
+        held = [self.weights[w] for w in words if w in self.weights]
+        return (max(held), math.fsum(held) / math.sqrt(len(words))) if held else (0.0, 0.0)
 
     def score(self, text: str | None) -> float:
-        x = self.slope * self.evidence(text) + self.offset if self.weights else -745.0
+        if not self.weights:
+            return 0.0
+        most, whole = self.evidence(text)
+        x = self.slopes[0] * most + self.slopes[1] * whole + self.offset
         return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
 
 
-def lm_entries(letters: int) -> int:
-    """Entries of the language model of a corpus with so many letters."""
-    return int(LM_FACTOR * max(1, letters) ** LM_POWER)
-
-
 def language_model(docs: DataFrame) -> CharModel:
-    """Counts of 1 to 3 letters over all texts."""
+    """Counts over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list = []
+        sums = Counts()
         for batch in batches:
             for text in batch.column(0):
-                parts.append(gram_counts(text.as_py()))
-                if len(parts) >= 64:
-                    parts = [_sum(parts)]
-        if parts:
-            codes, n = _sum(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n)], ["gram", "n"])
+                sums.add(text.as_py())
+        codes, n = sums.entries()
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["gram", "n"])
 
     grams = docs.where("text is not null").select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    grams = written(grams, "grams")
-    letters = grams.where(F.col("gram") <= _MASK).agg(F.sum("n")).first()[0] or 0
-    return CharModel({r["gram"]: r["n"] for r in most_frequent(grams, lm_entries(letters))})
+    rows = grams.collect()  # the alphabet bounds them
+    return CharModel(np.array([r["gram"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -262,7 +306,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return written(texts.dropDuplicates(["text", "y"]), "texts")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, kept: int = FEATURES) -> Scorer:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Scorer:
     """A scorer from the texts and the labels outside the held-out fold."""
     model = language_model(docs)
     sample = labelled_sample(docs, labels, rows)
@@ -270,64 +314,59 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, kept: int =
     if len(sizes) < 2:
         return Scorer(model, {})
 
-    def counted(y: int, least: int, among: frozenset | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            restorer, sums = Restorer(model), Counter()
-
-            def out() -> pa.RecordBatch:
-                batch = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], ["feature", "n"])
-                sums.clear()
-                return batch
-
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    own = features(restorer.words(text))
-                    sums.update(own if among is None else own & among)
-                    if len(sums) > 300_000:
-                        yield out()
-            yield out()
-
-        grouped = sample.where(F.col("y") == y).select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-        return {r["feature"]: r["n"] for r in most_frequent(written(grouped.where(F.col("n") >= least), "features"), 20 * kept)}
-
-    toxic = counted(1, 3, None)
-    other = counted(0, 1, frozenset(toxic))
-    weights = {}
-    for f, n in toxic.items():
-        m = other.get(f, 0)
-        w = math.log((n + 0.5) / (sizes[1] + 1)) - math.log((m + 0.5) / (sizes[0] + 1)) - ERRORS * math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-        if w > 0.5:
-            weights[f] = w
-    weights = dict(sorted(weights.items(), key=lambda x: (-x[1] * toxic[x[0]], x[0]))[:kept])
-    scorer = Scorer(model, weights)
+    def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model)
+        sums: dict[int, Counter] = {0: Counter(), 1: Counter()}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for y, own in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([y] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())], ["word", "y", "n"])
+                own.clear()
+
+        for batch in batches:
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[y].update(restorer.words(restorer.text(text)))
+                if len(sums[0]) + len(sums[1]) > 300_000:
+                    yield from out()
+        yield from out()
+
+    of = lambda y: F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0))
+    words = sample.select("text", "y").mapInArrow(restore, "word string, y int, n long").groupBy("word").agg(of(1).alias("t"), of(0).alias("o"))
+    ratio = F.log((F.col("t") + 0.5) / (sizes[1] + 1)) - F.log((F.col("o") + 0.5) / (sizes[0] + 1))
+    weight = ratio - ERRORS * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("o") + 0.5))
+    # words of a bounded sample of toxic documents
+    scorer = Scorer(model, {r["word"]: r["w"] for r in words.where("t > 0").select("word", weight.alias("w")).where("w > 0.5").collect()})
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([scorer.evidence(t) for t in batch.column(0).to_pylist()], pa.float64()), batch.column(1)], ["s", "y"])
+            seen = [scorer.evidence(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in seen], pa.float64()), pa.array([s[1] for s in seen], pa.float64()), batch.column(1)], ["most", "whole", "y"])
 
-    # rounding makes few distinct values, so that what the driver gets has a bound
-    seen = sample.select("text", "y").mapInArrow(weigh, "s double, y int").groupBy(F.round("s", 1).alias("s"), "y").count().collect()
-    scorer.slope, scorer.offset = logistic([(r["s"], r["y"], r["count"]) for r in seen])
+    # no more rows than the sample has
+    points = sample.select("text", "y").mapInArrow(weigh, "most double, whole double, y int").groupBy(F.round("most", 1).alias("most"), F.round("whole", 1).alias("whole"), "y").count().collect()
+    *slopes, scorer.offset = logistic([((r["most"], r["whole"]), r["y"], r["count"]) for r in points])
+    scorer.slopes = tuple(slopes)
     return scorer
 
 
-def logistic(points: list[tuple[float, int, int]], ridge: float = 0.05) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through weighted points (x, 0 or 1, weight), by Newton's method with a small ridge on the slope."""
-    x, y, w = (np.array(c, float) for c in zip(*points, strict=True))
-    a, b = 0.0, math.log(((w * y).sum() + 0.5) / ((w * (1 - y)).sum() + 0.5))
-    loss = lambda a, b: (w * np.logaddexp(0, np.where(y == 1, -1, 1) * (a * x + b))).sum() + ridge * (a * a + b * b) / 2
+def logistic(points: list[tuple[tuple[float, ...], int, int]], ridge: float = 0.05) -> list[float]:
+    """Slopes and offset of the logistic curve through weighted points (variables, 0 or 1, weight), by Newton's method with a small ridge."""
+    x = np.array([[*p[0], 1.0] for p in points])
+    y, w = np.array([p[1] for p in points], float), np.array([p[2] for p in points], float)
+    b = np.zeros(x.shape[1])
+    b[-1] = math.log(((w * y).sum() + 0.5) / ((w * (1 - y)).sum() + 0.5))
+    loss = lambda b: (w * np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ b))).sum() + ridge * (b @ b) / 2
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
-        g = np.array([(w * (p - y) * x).sum() + ridge * a, (w * (p - y)).sum() + ridge * b])
-        v = w * p * (1 - p)
-        h = np.array([[(v * x * x).sum() + ridge, (v * x).sum()], [(v * x).sum(), v.sum() + ridge]])
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -500, 500)))
+        g = x.T @ (w * (p - y)) + ridge * b
+        h = (x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b))
         step, size = np.linalg.solve(h, g), 1.0
-        while size > 1e-6 and loss(a - size * step[0], b - size * step[1]) > loss(a, b):
+        while size > 1e-6 and loss(b - size * step) > loss(b):
             size /= 2
-        a, b = a - size * step[0], b - size * step[1]
+        b = b - size * step
         if size * np.abs(step).max() < 1e-9:
             break
-    return float(a), float(b)
+    return b.tolist()
 
 
 def score_toxicity(docs: DataFrame, scorer: Scorer) -> DataFrame:

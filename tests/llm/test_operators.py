@@ -1,6 +1,7 @@
 """Every corpus operator on small awkward tables, against brute force or properties that define it."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -352,14 +353,71 @@ def test_toxicity(spark):
     got = {r.doc_id: r for r in toxicity.score_toxicity(df, toxicity.fit(df, labels)).collect()}
     assert all(got[i].predicted == int(i % 4 == 0) for i in range(400))
     assert [got[i].predicted for i in (1000, 1001, 1002, 1003, 1004, 1005, None)] == [1, 1, 1, 0, 0, 0, 0]
-    sizes = [toxicity.lm_entries(10**p) for p in (0, 6, 9, 12)]
-    assert sizes == sorted(set(sizes))
     letters = sum(c.isalpha() for _, t in rows for c in t or "")
     assert toxicity.language_model(df).total == letters
+    assert toxicity.fit(df.where("false"), labels).score("idiot") == 0.0 and toxicity.score_toxicity(df.where("false"), toxicity.fit(df, labels)).count() == 0
+    repeated = toxicity.score_toxicity(docs(spark, [(1, "idiot"), (1, "idiot")]), toxicity.fit(df, labels)).collect()
+    assert repeated[0] == repeated[1] and repeated[0].predicted == 1
+    texts = {r.doc_id: r.restored for r in toxicity.restored(df, toxicity.language_model(df)).where("doc_id >= 1000").collect()}
+    assert texts[1000].startswith("you idiot ") and texts[1001].endswith(" idiot") and texts[1002] == "idiot" and texts[1004] == ""
     none = toxicity.fit(df, labels.where("false"))
     assert {r.score for r in toxicity.score_toxicity(df, none).collect()} == {0.0}
 
 
+def test_toxicity_counts_equal_naive_ones(monkeypatch):
+    rng = random.Random(13)
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    texts = ["".join(rng.choice("abcé漢ÀĄ 1.-\n") for _ in range(rng.randrange(40))) for _ in range(60)] + ["", "   ", "a"]
+    got = toxicity.Counts()
+    for t in texts:
+        got.add(t)
+    want = [Counter(), Counter(), Counter()]
+    for t in texts:
+        s = [0, 0]
+        for c in toxicity.symbols(t.lower() + " ").tolist():
+            if c or s[-1]:
+                s.append(c)
+        for i in range(2, len(s)):
+            want[0][s[i]] += s[i] != 0
+            want[1][s[i - 1] << 7 | s[i]] += 1
+            want[2][s[i - 2] << 14 | s[i - 1] << 7 | s[i]] += s[i - 1] != 0
+    for k in range(3):
+        assert {i: int(got.of[k][i]) for i in np.flatnonzero(got.of[k]).tolist()} == {i: n for i, n in want[k].items() if n}
+
+
+def test_toxicity_decoding_equals_the_best_of_all_readings():
+    rng = random.Random(14)
+    counts = toxicity.Counts()
+    counts.add("idiot loser stupid clown people window garden letter simple little " * 3)
+    model = toxicity.CharModel(*counts.entries())
+
+    def cost(readings):
+        total, a, b = 0.0, " ", " "
+        for reading, channel in readings:
+            total += channel
+            if reading:
+                total += model.cost(a, b, reading) if reading.isalpha() or reading == " " else 0.0
+                a, b = (b, reading) if reading.isalpha() else (" ", " ")
+        return total + (model.cost(a, b, " ") if b != " " else 0.0)
+
+    for _ in range(300):
+        observed = "".join(rng.choice("idotle1305$@!. -") for _ in range(rng.randrange(1, 8)))
+        ways = list(itertools.product(*toxicity.lattice(observed)))
+        said = toxicity.decode(observed, model)
+        least = min(map(cost, ways))
+        assert any("".join(r for r, _ in w) == said and cost(w) < least + 1e-9 for w in ways)
+
+
+def test_toxicity_held_out(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    df, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    out = [r for r in toxicity.score_toxicity(df, toxicity.fit(df, labels)).collect() if r.held_out and r.doc_id in truth]
+    assert sum(r.predicted == truth[r.doc_id] for r in out) >= 0.96 * len(out) and len(out) > 50
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [

@@ -8,9 +8,9 @@ have equal anchors at equal places, so that all copies of a window meet in the s
 the same anchor form a context, and a context is all that is known of them outside their document. Contexts that are equal as
 a whole (by a 128-bit cryptographic digest, and by their bytes wherever these travel along) are a class: its first member
 stands for it, the others go. Anchors that have a single class are done. The other classes have the bytes of their first
-member fetched. An anchor with more bytes than a shard may hold is split: its contexts are halved by their windows, which share
-more bytes and so have longer anchors, and form classes anew. In each shard windows without a partner are left out, the rest is
-concatenated and its suffix array is built; windows that are equal stand in a row there, and all but the first in document
+member fetched. An anchor with more than SPLIT_BYTES of them is split: its contexts are halved by their windows, which share
+more bytes and so have longer anchors, and form classes anew. In each shard windows without a partner are left out, equal stretches
+of the rest are classes, and the suffix array of one of each is built; windows that are equal stand in a row there, and all but the first in document
 order go.
 
 Defined results. Null text is empty; texts shorter than LENGTH lose nothing. Rows with a null doc_id take no part and lose
@@ -39,8 +39,8 @@ from .common import process_slots, written
 from .suffix_array import suffix_array
 
 LENGTH, ANCHOR = 100, 32
-#: Bytes of contexts that a shard holds, beyond which an anchor is split, too; windows whose anchors are sought at a time.
-SHARD_BYTES, BLOCK = 1 << 18, 1 << 19
+#: Bytes of contexts that a shard holds, and beyond which an anchor is split; windows whose anchors are sought at a time.
+SHARD_BYTES, SPLIT_BYTES, BLOCK = 1 << 17, 1 << 15, 1 << 19
 #: Documents, in expectation, that are sampled for common anchors; rows in the sample that make an anchor common; tasks that a class of a common anchor is dealt over at first.
 SAMPLE_DOCS, COMMON, SALTS = 20_000, 64, 32
 _SPAN = LENGTH - ANCHOR + 1
@@ -344,17 +344,22 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         held.sort(key=lambda r: r[:3])
         stretches = _partnered([r[3] for r in held])
-        parts = [held[i][3][a:b] for i, a, b in stretches]
+        # equal stretches are a class again: the first stands for it in the suffix array, the others go
+        classes: dict[bytes, int] = {}
         spans: list[list[int]] = []
-        if parts:
-            again = repeated_windows(parts)
-            begin = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        for n, (k, a, b) in enumerate(stretches):
+            if classes.setdefault(held[k][3][a:b], n) != n:
+                spans.append([n, 0, b - a])
+        if classes:
+            own = list(classes.values())
+            again = repeated_windows(list(classes))
+            begin = np.concatenate([[0], np.cumsum([len(p) for p in classes])])
             owner = np.searchsorted(begin, again, side="right") - 1
             for i, s in zip(owner.tolist(), (again - begin[owner]).tolist(), strict=True):
-                if spans and spans[-1][0] == i and spans[-1][2] >= s:
+                if spans and spans[-1][0] == own[i] and spans[-1][2] >= s:
                     spans[-1][2] = s + LENGTH
                 else:
-                    spans.append([i, s, s + LENGTH])
+                    spans.append([own[i], s, s + LENGTH])
         rows = []
         for i, a, b in spans:
             k, start, _ = stretches[i]
@@ -417,8 +422,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     small = []
     wide = F.expr(f"place div {_FAR} - place % {_FAR} div {_NEAR}")
     while True:
-        # the anchors whose contexts exceed a shard: as many as there are shards' worth of bytes, at most
-        hot = written(open_.groupBy("key").agg(F.sum(F.octet_length("body")).alias("held"), F.max(wide).alias("wide")).where((F.col("held") > SHARD_BYTES) & (F.col("wide") > 0)).select("key"), "hot")
+        # the anchors whose contexts are too many for one place: no more than all bytes over that bound
+        hot = written(open_.groupBy("key").agg(F.sum(F.octet_length("body")).alias("held"), F.max(wide).alias("wide")).where((F.col("held") > SPLIT_BYTES) & (F.col("wide") > 0)).select("key"), "hot")
         if hot.isEmpty():
             small.append(open_)
             break

@@ -61,6 +61,44 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[list[int]], list[int]]:
                     group[j] = new
             at = below[at]
             continue
+        if sizes[at] == 2:  # the next usual case: two copies of a passage go side by side
+            i, k = own if len(own) == 2 else (x for x in own if group[x] == at)
+            if i > k:
+                i, k = k, i
+            j = i - 1
+            while j >= 0 and taken[j]:
+                j = smaller[j]
+            smaller[i] = j
+            taken[i] = 1
+            l = k - 1
+            while l >= 0 and taken[l]:
+                l = smaller[l]
+            smaller[k] = l
+            taken[k] = 1
+            finished.append([i, k])
+            if j != l and j >= 0 and l >= 0 and group[j] == group[l]:
+                moving = ((j, l),) if sizes[group[j]] > 2 else ()
+            else:
+                moving = ((j,),) if j == l else ((j,), (l,))
+            for moved in moving:
+                if moved[0] < 0:
+                    continue
+                g = group[moved[0]]
+                if sizes[g] > len(moved):
+                    new = len(members)
+                    members.append(moved)
+                    sizes.append(len(moved))
+                    sizes[g] -= len(moved)
+                    over = above[g]
+                    below.append(g)
+                    above.append(over)
+                    above[g] = new
+                    if over >= 0:
+                        below[over] = new
+                    for p in moved:
+                        group[p] = new
+            at = below[at]
+            continue
         if len(own) > 1:
             own = sorted(i for i in own if group[i] == at) if len(own) != sizes[at] else sorted(own)
         counts: dict[int, int] = {}

@@ -1,50 +1,41 @@
-"""Raw lines with their byte offsets: a Python data source that reads Latin-1 files, splits at line feeds and drops one carriage return."""
+"""Raw lines with their byte offsets: a Python data source that reads Latin-1 files, splits at line feeds and drops one carriage return.
+
+Files are listed and read through pyarrow's file systems, so that executors on other machines reach them. Large files are read
+in parts; the line that a part begins with belongs to the part before.
+"""
 
 from __future__ import annotations
 
-import os
+import io
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sievemark.sources.files import file_system, listing, relative_path
+
 
 class _Range(InputPartition):
-    def __init__(self, root: str, file: str, start: int, end: int):
-        self.root, self.file, self.start, self.end = root, file, start, end
+    def __init__(self, file: str, start: int, end: int):
+        self.file, self.start, self.end = file, start, end
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.split = options["path"].removeprefix("file://"), int(options.get("splitBytes", 64 << 20))
+        self.path, self.split = options["path"], int(options.get("splitBytes", 64 << 20))
 
     def partitions(self) -> list[_Range]:
-        if os.path.islink(self.path):
-            raise ValueError(f"{self.path} is a symbolic link")
-        if os.path.isfile(self.path):
-            found = [(os.path.dirname(self.path), os.path.basename(self.path))]
-        else:
-            found = []
-            for folder, dirs, names in os.walk(self.path):
-                dirs[:] = sorted(d for d in dirs if d[0] not in "._")
-                for name in names:
-                    if name[0] not in "._":
-                        if os.path.islink(os.path.join(folder, name)):
-                            raise ValueError(f"{name} is a symbolic link")
-                        found.append((self.path, os.path.relpath(os.path.join(folder, name), self.path)))
-            found.sort(key=lambda x: x[1])
-        out = []
-        for root, file in found:
-            size = os.path.getsize(os.path.join(root, file))
-            out += [_Range(root, file, s, min(size, s + self.split)) for s in range(0, size, self.split)]
-        return out
+        return [_Range(file, s, min(size, s + self.split)) for file, size in listing(self.path) for s in range(0, size, self.split)]
 
     def read(self, part: _Range) -> Iterator[tuple[str, int, str]]:
-        with open(os.path.join(part.root, part.file), "rb") as f:
+        fs, root = file_system(self.path)
+        path = root if fs.get_file_info(root).is_file else f"{root.rstrip('/')}/{part.file}"
+        with io.BufferedReader(fs.open_input_file(path), 1 << 20) as f:
             f.seek(max(0, part.start - 1))
             if part.start and f.read(1) != b"\n":
-                f.readline()  # a line that the part before began belongs to it
+                f.readline()
             at = f.tell()
             while at < part.end and (line := f.readline()):
                 text = line.removesuffix(b"\n").removesuffix(b"\r")
@@ -71,9 +62,11 @@ def read_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def read_lines_native(spark: SparkSession, path: str) -> DataFrame:
     """The same rows without Python, for files that fit a row: offsets are running sums of line lengths within a file."""
+    if not re.match(r"\w+:", path) or path.startswith("file:"):
+        listing(path)  # refuses symbolic links
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Latin-1 has a character for every byte, so lengths in characters are lengths in bytes
     rows = files.select("path", "length", F.posexplode(F.split(F.decode("content", "ISO-8859-1"), "\n", -1)).alias("place", "raw"))
     before = Window.partitionBy("path").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.coalesce(F.sum(F.length("raw").cast("long") + 1).over(before), F.lit(0))).where("start < length")
-    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), F.col("start").alias("source_offset"), F.regexp_replace("raw", r"\r$", "").alias("raw_record"))
+    return rows.select(relative_path("path", path).alias("source_file"), F.col("start").alias("source_offset"), F.regexp_replace("raw", r"\r$", "").alias("raw_record"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import atexit
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.sources.files import file_system, shared_folder
+
 #: Rows of an Arrow batch that become Python objects at a time, which bounds a worker's memory.
 SLICE_ROWS = 512
 
@@ -32,21 +34,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. The session's own setting wins; only without it is one made here, as in local tests."""
-    context = spark.sparkContext
-    path = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not path:
-        path = f"file://{tempfile.gettempdir()}/checkpoints"
-        context.setCheckpointDir(path)
-    return path.rstrip("/")
+    """The folder that driver and executors share. The session's own setting wins; only without it is one made here, for a local master as in tests. A cluster without the setting is refused, since each machine would write to its own disk."""
+    return shared_folder(spark, "").rsplit("/", 2)[0]
+
+
+#: Folders that this process has written scratch tables to.
+_SCRATCH: list[str] = []
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back: cuts the lineage and survives the loss of executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sievemark-{uuid.uuid4().hex}/{label}"
+    """df as a Parquet table in the shared folder, read back: cuts the lineage and survives the loss of executors. The table goes when the process ends, or with remove_scratch."""
+    path = shared_folder(df.sparkSession, label)
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    _SCRATCH.append(path.removesuffix(f"/{label}"))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch() -> None:
+    """Removes the tables that were written so far; what was computed from them has to be stored by then. A store that pyarrow can't open keeps them."""
+    while _SCRATCH:
+        with contextlib.suppress(OSError, ValueError):
+            fs, path = file_system(_SCRATCH.pop())
+            fs.delete_dir(path)
 
 
 def remainder(doc_id: Column, of: int = 5) -> Column:

@@ -9,8 +9,8 @@ Ties between n-grams: the smaller code points. Repeated rows are judged one by o
 other, not learnt from, held_out false. With nothing to learn from, everything is `und`. Other columns are not read.
 
 At scale: profiles are fitted on a sample of labelled rows of about `sample_rows` a language, chosen by a hash, so that
-fitting costs the same for any corpus; the counts are summed before they are shuffled, and what reaches the driver has the
-bound languages x 16 x profile length. Prediction is one pass over the texts without a shuffle.
+fitting costs the same for any corpus; every label that occurs is learnt. The counts are summed before they are shuffled, and
+what reaches the driver are the profiles, `length` rows a language. Prediction is one pass over the texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,14 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, remainder
+from .common import held_out, remainder, written
 
 UNDETERMINED = "und"
-#: N-grams of a profile, expected sample rows per language, languages at most (the most frequent ones).
-PROFILE_LENGTH, SAMPLE_ROWS, MAX_LANGUAGES = 400, 1500, 500
+#: N-grams of a profile, expected sample rows per language.
+PROFILE_LENGTH, SAMPLE_ROWS = 400, 1500
 #: Letters of a text that are counted at a time.
 CHUNK = 1 << 18
 _SPREAD = 16
@@ -44,6 +45,7 @@ def _letters(text: str) -> np.ndarray:
     a = np.where(_LETTER[a], a, 32)
     keep = a != 32
     keep[1:] |= a[:-1] != 32
+    keep[0] = True  # the padding before the first word
     return a[keep].astype(np.uint64)
 
 
@@ -106,11 +108,9 @@ class Profiles:
 def fit(docs: DataFrame, length: int = PROFILE_LENGTH, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     """Profiles from text and lang of the rows outside the held-out fold."""
     rows = docs.select("doc_id", "text", "lang").where((remainder(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return Profiles.of({}, length)
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, sample_rows / r["n"])))))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.try_element_at(share, F.col("lang")) * (1 << 30)).select("lang", "text")
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    share = F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("n"))
+    sample = rows.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list] = {}
@@ -127,11 +127,13 @@ def fit(docs: DataFrame, length: int = PROFILE_LENGTH, sample_rows: int = SAMPLE
     grams = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # the most frequent of each sixteenth of a language's n-grams hold the most frequent of all
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(_SPREAD))).orderBy(F.desc("n"), "gram")
-    top = grams.withColumn("place", F.row_number().over(part)).where(F.col("place") <= length).select("lang", "gram", "n").collect()
+    top = grams.withColumn("place", F.row_number().over(part)).where(F.col("place") <= length)
+    whole = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    top = top.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= length).select("lang", "gram", "rank").collect()
     ranked: dict[str, list] = {}
-    for r in top:
-        ranked.setdefault(r["lang"], []).append((-r["n"], r["gram"]))
-    return Profiles.of({k: [g for _, g in sorted(v)[:length]] for k, v in ranked.items()}, length)
+    for r in sorted(top, key=lambda r: (r["lang"], r["rank"])):
+        ranked.setdefault(r["lang"], []).append(r["gram"])
+    return Profiles.of(ranked, length)
 
 
 def _sum(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -152,12 +154,17 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, profiles: Profiles, least: float = 0.0) -> DataFrame:
-    """The rows of docs, all columns, whose language can be told with a score above `least`."""
-    at = docs.columns.index("text")
+    """The rows of docs, all columns, whose language can be told with a score above `least`; where `lang` is a column and null, the predicted one is filled in."""
+    names = docs.columns
+    at, lang = names.index("text"), names.index("lang") if "lang" in names else None
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             said = [profiles.closest(t.as_py()) for t in batch.column(at)]
-            yield batch.filter(pa.array([name != UNDETERMINED and score > least for name, score in said], pa.bool_()))
+            kept = pa.array([name != UNDETERMINED and score > least for name, score in said], pa.bool_())
+            columns = list(batch.columns)
+            if lang is not None and columns[lang].null_count:
+                columns[lang] = pa.compute.coalesce(columns[lang], pa.array([name for name, _ in said], columns[lang].type))
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(kept)
 
     return docs.mapInArrow(passing, docs.schema)

@@ -8,12 +8,13 @@ level follows from running sums.
 Curriculum. The weight of a source changes over training progress p from 0 to 1 as weight * (1 + slope * (2p - 1)), with a
 slope for each of the three weights; its integral is the weight, so that targets hold over the whole run. A source's
 cumulative demand at p is target * (p + slope * (p*p - p)). Its documents, in an order fixed by a hash of their id and
-repeated up to CEILING times, fill that demand; inverting the demand at the middle of a document's words gives the position in
-training, by which documents are range-sorted. A repetition is taken if its middle lies below the target, so that what
-is taken differs from the target by half a document at most.
+repeated up to CEILING times, fill that demand; inverting the demand at the middle of a copy's words gives its position in
+training, so that every copy stands where the schedule asks for its words, and copies are range-sorted by position. A copy is
+taken if its middle lies below the target, so that what is taken differs from the target by half a document at most.
 
-Defined results. Null text has size 0 and is never taken. A null source is a source of its own. Null or repeated doc_ids
-are ordered among themselves by size; repeated rows count one by one. An empty table gives no rows. Other columns are not read.
+Defined results. Null text has size 0 and is never taken. A null source is a source of its own. The order of a source is that
+of a hash of doc_id and text, so that null or repeated doc_ids are spread too; equal rows count one by one. An empty table
+gives no rows. Other columns are not read.
 
 At scale: words are counted in one pass. Running sums over a source, which may hold a third of all rows, are taken in two
 levels: within ranges of the hash (about the square root of the source's rows in each), and over the ranges. All of it is
@@ -57,9 +58,10 @@ def position(share, slope):
 
 
 def mix(docs: DataFrame, keep: bool = False, slopes: tuple[float, float, float] = SLOPES, ceiling: int = CEILING) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies, position (of the first copy; null if none is taken) of every row, range-sorted by position. keep: with all columns of docs, as the struct `doc`."""
+    """doc_id, size, source_size, target, taken, copies, positions (of each copy taken) of every row, range-sorted by the first position. keep: with all columns of docs, as the struct `doc`, and in no order."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    order = F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long")
     rows = docs.select("doc_id", "source", size.alias("size"), order.alias("o"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if keep else []))
     if not keep:
         rows = written(rows, "sizes")
@@ -75,14 +77,21 @@ def mix(docs: DataFrame, keep: bool = False, slopes: tuple[float, float, float]
     within = Window.partitionBy("place", "range").orderBy("o", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = ranged.withColumn("through", F.sum("size").over(within)).join(starts, ["place", "range"])
     filled = filled.withColumn("begin", F.col("start") + F.col("through") - F.col("size"))
-    middle = [2 * (F.col("begin") + j * F.col("source_size")) + F.col("size") for j in range(ceiling)]
-    copies = sum((F.when((F.col("size") > 0) & (m < 2 * F.col("target")), 1).otherwise(0) for m in middle), F.lit(0))
-    share = middle[0].cast("double") / (2 * F.col("target"))
-    out = filled.withColumn("copies", copies.cast("long")).withColumn("position", F.when(F.col("copies") > 0, position(share, F.col("slope"))))
-    columns = ["doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "position"]
-    return out.select(*columns, *(["doc"] if keep else [])).orderBy(F.col("position").asc_nulls_last(), "doc_id")
-
-
-def training_order(mixed: DataFrame, slopes: tuple[float, float, float] = SLOPES) -> DataFrame:
-    """One row for every copy that a mix with keep takes: epoch (from 0) and the columns of the document, first epochs in the order of the curriculum."""
-    return mixed.where("copies > 0").select("position", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"), "doc.*").orderBy("epoch", "position")
+    at = []
+    for j in range(ceiling):
+        middle = 2 * (F.col("begin") + j * F.col("source_size")) + F.col("size")
+        at.append(F.when((F.col("size") > 0) & (middle < 2 * F.col("target")), position(middle.cast("double") / (2 * F.col("target")), F.col("slope"))))
+    out = filled.withColumn("positions", F.filter(F.array(*at), lambda x: x.isNotNull())).withColumn("copies", F.size("positions").cast("long"))
+    columns = ["doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "positions"]
+    if keep:
+        return out.select(*columns, "doc")
+    return out.select(*columns).orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
+
+
+def training_order(mixed: DataFrame) -> DataFrame:
+    """One row for every copy that a mix with keep takes, range-sorted by its position: the columns of the document, then those of the mix that have other names, copy (from 0) and position."""
+    own = mixed.schema["doc"].dataType.names
+    added = [c for c in ("size", "source_size", "target", "taken", "copies") if c not in own]
+    each = mixed.select(*(F.col("doc").getField(c).alias(c) for c in own), *added, F.posexplode("positions").alias("_copy", "_position"))
+    last = [(F.col(c), c.removeprefix("_")) for c in ("_copy", "_position")]
+    return each.orderBy("_position", "doc_id", "_copy").select(*own, *added, *(c.alias(n) for c, n in last if n not in own))

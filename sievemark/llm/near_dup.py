@@ -12,11 +12,13 @@ small ones by comparing their members across components, and the members of larg
 positional filters. So no bucket is capped, and no pair that shares one is left out unless its ends are already connected.
 
 Defined results. Null and empty texts, or texts without words, have an empty set, link with nothing and are their own
-component. Rows with a null doc_id take no part: component_id null, kept true. Repeated rows get equal results; rows with
-one doc_id and several texts belong to one component, as the doc_id does. Ties go to the smaller doc_id. Other columns are not read.
+component, unless their doc_id has other texts. Rows with a null doc_id take no part: component_id null, kept true. Repeated rows
+get equal results; rows with one doc_id and several texts belong to one component, as the doc_id does: their classes are linked.
+Ties go to the smaller doc_id. Other columns are not read.
 
 At scale: what is shuffled is a signature for each document (bands, not texts), and shingle sets of candidates only. Buckets
-are aggregated before they are joined, with a salt that deals large ones over several tasks. With 24 bands of 4, a pair at
+are aggregated before they are joined; large ones, of which there are BROADCAST_ROWS at most, have their heads broadcast, so
+that no task gets a whole bucket. The sets of many classes meet the set of one head in tasks of PAIRS pairs. With 24 bands of 4, a pair at
 0.85 shares a bucket but for a chance of 2e-8. Components come from repeated joins of links and labels on the cluster.
 """
 
@@ -35,7 +37,9 @@ from .common import written
 SHINGLE, PERCENT = 5, 85
 #: Rows of a band, and bands.
 BANDING = (4, 24)
-SMALL_BUCKET, SALTS, BROADCAST_IDS = 32, 8, 1_000_000
+SMALL_BUCKET, BROADCAST_IDS = 32, 1_000_000
+#: Members from which a bucket counts as large, large buckets at most, and pairs with one set that a task compares, in expectation.
+LARGE_BUCKET, BROADCAST_ROWS, PAIRS = 4096, 100_000, 16_384
 #: Shingles that are permuted at a time.
 BLOCK = 1 << 19
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # constants of a public 64-bit finaliser
@@ -133,20 +137,25 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough. pairs: a written table; b may be the same in many of them."""
+    salts = max(1, -(-pairs.count() // PAIRS))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a", F.lit(3)), F.lit(salts)))
     one = sets.select(F.col("f").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"))
-    two = sets.select(F.col("f").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
+    two = pairs.select("b", "salt").distinct().join(sets.select(F.col("f").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
+    both = pairs.join(one, "a").join(two, ["b", "salt"]).withColumn("shared", F.size(F.array_intersect("sa", "sb")))
     return both.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
 def buckets_of(classes: DataFrame) -> DataFrame:
-    """bucket, f, id, n of all classes that share a bucket with another, with the bucket's smallest class as cf, cn. classes: f, id, n, bands."""
+    """bucket, members, f, id, n of all classes that share a bucket with another, with the bucket's smallest class as cf, cn; a written table. classes: f, id, n, bands, written."""
     banded = classes.select("f", "id", "n", F.explode("bands").alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct("id", "f", "n")).alias("head")).where("members > 1")
     heads = written(heads.select("bucket", "members", F.col("head.f").alias("cf"), F.col("head.n").alias("cn")), "buckets")
-    salted = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return banded.withColumn("salt", F.pmod(F.xxhash64("f"), F.lit(SALTS)).cast("int")).join(salted, ["bucket", "salt"]).drop("salt")
+    large = F.col("members") > max(LARGE_BUCKET, classes.count() * BANDING[1] // BROADCAST_ROWS)
+    hot = written(heads.where(large), "large-buckets")
+    columns = ["bucket", "members", "f", "id", "n", "cf", "cn"]
+    few = banded.join(F.broadcast(hot.select("bucket")), "bucket", "left_anti").join(heads.where(~large), "bucket").select(columns)
+    return written(few.unionByName(banded.join(F.broadcast(hot), "bucket").select(columns)), "members")
 
 
 def _alike(a: str, b: str, percent: int):
@@ -179,19 +188,20 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame | None]:
     """All classes' ids, and f, label of those that have links (None without candidates). classes: f, id, n, bands."""
     ids = classes.select("f", "id")
-    members = written(buckets_of(classes).where(_alike("n", "cn", percent)), "members")
+    shared = buckets_of(classes)
+    members = shared.where(_alike("n", "cn", percent))
     wanted = written(members.select("f", "id").distinct(), "wanted")
     if wanted.isEmpty():
         return ids, None
     sets = written(candidate_sets(docs, wanted), "sets")
     links, labels = _settled(members, sets, ids, None, percent)
-    rest = _unsettled(_all_members(classes), labels)
+    rest = _unsettled(shared.select("bucket", "f", "id", "n", "members"), labels)
     links, labels, rest = _small(rest, sets, ids, links, labels, percent, docs)
     if rest is not None:
         missing = written(rest.select("f", "id").distinct().join(sets.select("f"), "f", "left_anti"), "missing")  # those unlike every head
         if not missing.isEmpty():
             sets = written(sets.unionByName(candidate_sets(docs, missing)), "sets")
-        new = written(verified(prefix_pairs(rest, sets, percent), sets, percent), "exact")
+        new = written(verified(written(prefix_pairs(rest, sets, percent), "probed"), sets, percent), "exact")
         if not new.isEmpty():
             links, labels = _joined(new, ids, links)
     return ids, labels
@@ -218,13 +228,9 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return both.where(F.least(F.col("m") - F.col("q"), F.col("n") - F.col("p")) >= needed(F.col("m"), F.col("n"))).select("a", "b").distinct()
 
 
-def _all_members(classes: DataFrame) -> DataFrame:
-    return buckets_of(classes).select("bucket", "f", "id", "n", "members")
-
-
 def _settled(members: DataFrame, sets: DataFrame, ids: DataFrame, links: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
     """Compares all members with the head of their bucket; returns all links so far, and labels."""
-    pairs = members.where("f != cf").select(F.col("f").alias("a"), F.col("cf").alias("b")).distinct()
+    pairs = written(members.where("f != cf").select(F.col("f").alias("a"), F.col("cf").alias("b")).distinct(), "pairs")
     return _joined(verified(pairs, sets, percent), ids, links)
 
 
@@ -261,15 +267,35 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signed = written(sign(docs), "signed")
     linked = signed.where(F.col("doc_id").isNotNull() & F.col("f").isNotNull())
     classes = written(linked.groupBy("f").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    # classes that a doc_id has in common
+    mixed = linked.groupBy("doc_id").agg(F.min("f").alias("least"), F.max("f").alias("most")).where("least != most").select("doc_id", "least")
+    mixed = written(mixed, "mixed")
     ids, labels = link_classes(docs, classes, percent)
     named = ids.withColumn("label", F.col("id")) if labels is None else ids.join(labels, "f", "left").withColumn("label", F.coalesce("label", "id"))
     named = written(named.select("f", "label"), "named")
+    per_doc = None
+    if not mixed.isEmpty():
+        own = linked.select("doc_id", "f").join(mixed, "doc_id").select("doc_id", "f").distinct()
+        named, per_doc = _of_one_document(own, named)
     out = signed.select("doc_id", "n_shingles", "f").join(named, "f", "left")
+    if per_doc is not None:  # rows without words of a doc_id that has other texts
+        out = out.join(per_doc, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_label"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _of_one_document(own: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Labels with the components joined that documents with several texts have in common, and doc_id, doc_label of these. own: doc_id, f."""
+    held = written(own.join(named, "f").select("doc_id", "label").distinct(), "held")
+    least = held.groupBy("doc_id").agg(F.min("label").alias("least"))
+    links = held.join(least, "doc_id").where("label != least").select(F.col("label").alias("a"), F.col("least").alias("b"))
+    joined = components(links, links.select(F.col("a").alias("f")).unionByName(links.select(F.col("b").alias("f"))).distinct().withColumn("id", F.col("f")))
+    joined = written(joined.select(F.col("f").alias("old"), F.col("label").alias("new")), "joined")
+    again = lambda d: d.join(joined, d["label"] == joined["old"], "left").withColumn("label", F.coalesce("new", "label")).drop("old", "new")
+    return written(again(named), "named"), written(again(held).select("doc_id", F.col("label").alias("doc_label")).distinct(), "documents")
+
+
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, all columns, whose document is the smallest of its component."""
     gone = written(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

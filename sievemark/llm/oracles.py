@@ -23,7 +23,7 @@ QUALIFY row_number() OVER w <= 5
 SQL["op3_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS o
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS o
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS place
@@ -46,12 +46,17 @@ WITH d AS (
   SELECT *, CASE WHEN size = 0 THEN 0 ELSE
     (2 * first + size < 2 * target)::BIGINT + (2 * (first + source_size) + size < 2 * target)::BIGINT
     + (2 * (first + 2 * source_size) + size < 2 * target)::BIGINT END AS copies,
-    CAST(2 * first + size AS DOUBLE) / (2 * target) AS y
+    CAST(2 * first + size AS DOUBLE) / (2 * target) AS y0, CAST(2 * (first + source_size) + size AS DOUBLE) / (2 * target) AS y1,
+    CAST(2 * (first + 2 * source_size) + size AS DOUBLE) / (2 * target) AS y2
   FROM c
 )
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies,
-  CASE WHEN copies = 0 THEN NULL WHEN slope = 0 THEN y
-    ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * y) - (1 - slope)) / (2 * slope) END AS position
+  CASE WHEN copies > 0 THEN CASE WHEN slope = 0 THEN y0
+    ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * y0) - (1 - slope)) / (2 * slope) END END AS position,
+  CASE WHEN copies > 1 THEN CASE WHEN slope = 0 THEN y1
+    ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * y1) - (1 - slope)) / (2 * slope) END END AS position2,
+  CASE WHEN copies > 2 THEN CASE WHEN slope = 0 THEN y2
+    ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * y2) - (1 - slope)) / (2 * slope) END END AS position3
 FROM k
 """
 

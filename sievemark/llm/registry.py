@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontamination, html_text, language_id, mixing, near_dup, oracles, secrets, substring_dedup, top_k, toxicity, warc
 from .common import shared_dir, table
@@ -20,7 +21,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    positions = [F.get("positions", F.lit(j)).alias("position" if j == 0 else f"position{j + 1}") for j in range(mixing.CEILING)]
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", *positions)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Writing. Shards are ranges of page_id whose bounds follow from the ids alone; in a shard, records are sorted and appended to
+Writing. Shards are ranges of page_id whose number and bounds follow from the ids and payload sizes alone; in a shard, records are sorted and appended to
 an archive file, each as a gzip member of its own, until the file reaches the roll size in compressed bytes. Headers are made
 anew from the row, with digests of block and payload; dates are a parameter. Of records with equal payloads of LEAST_PAYLOAD
 bytes or more, that with the smallest page_id is the response and the others are revisits that refer to it.
@@ -14,8 +14,10 @@ always a response, and read back as null. Rows that repeat page_id and payload h
 payloads is as many records. Control characters in a url are percent-encoded; a null url has no target header. An empty
 table gives a manifest without files. Other columns are not read.
 
-At scale: payloads are shuffled once, to their shard; which records are revisits is settled on ids and digests alone.
-Records stream through writer and reader one at a time. Files go through pyarrow's file systems (file, hdfs, s3, gs).
+At scale: payloads are shuffled once, to their shard; which records are revisits is settled on ids and digests alone. Shards
+hold about SHARD_BYTES; ranges of ids that hold more are counted again, finer, down to single ids, and an id that exceeds a
+shard by itself is dealt over several by digest. Records stream through writer and reader one at a time. Files go through
+pyarrow's file systems (file, hdfs, s3 and s3a, gs, abfs), which have to be open to every executor.
 """
 
 from __future__ import annotations
@@ -29,22 +31,22 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.sources.files import file_system
+
 from .common import process_slots, written
 
 LEAST_PAYLOAD = 100
-ROLL_BYTES, DATE, BUCKETS = 64 << 20, "2024-01-01T00:00:00Z", 1024
+ROLL_BYTES, DATE = 64 << 20, "2024-01-01T00:00:00Z"
+#: Payload bytes that a shard aims at; smaller tables are dealt over FEW_SHARDS shards as long as these hold LEAST_BYTES. Bits by which a heavy range of ids is refined, and ranges a shard of evenly spread ids.
+SHARD_BYTES, FEW_SHARDS, LEAST_BYTES, FINER, CELLS = 256 << 20, 64, 4 << 20, 5, 64
 MANIFEST = "file string, temporary string, shard long, records long, bytes long, sha256 string"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public namespace for URLs
 
 
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if re.match(r"\w+:", uri) else (pafs.LocalFileSystem(), uri)
-
-
 def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'page:{page_id}:{digest}')}>"
 
@@ -74,9 +76,9 @@ def opening(name: str, date: str) -> bytes:
 class _Roll:
     """Appends compressed records to files of one shard under temporary names."""
 
-    def __init__(self, out_dir: str, attempt: str, shard: int, roll_bytes: int, date: str):
+    def __init__(self, out_dir: str, attempt: str, shard: int, part: int, roll_bytes: int, date: str):
         self.fs, self.root = file_system(out_dir)
-        self.attempt, self.shard, self.roll_bytes, self.date = attempt, shard, roll_bytes, date
+        self.attempt, self.shard, self.part, self.roll_bytes, self.date = attempt, shard, part, roll_bytes, date
         self.number, self.stream, self.done = 0, None, []
 
     def add(self, data: bytes) -> None:
@@ -84,7 +86,7 @@ class _Roll:
         if self.stream is not None and self.size + len(packed) > self.roll_bytes:
             self.close()
         if self.stream is None:
-            self.name = f"shard-{self.shard:06d}-{self.number:05d}.warc.gz"
+            self.name = f"shard-{self.shard:06d}{f'.{self.part:04d}' if self.part else ''}-{self.number:05d}.warc.gz"
             self.temporary = f"_temporary/{self.attempt}-{self.name}"
             self.fs.create_dir(f"{self.root}/_temporary", recursive=True)
             self.stream = self.fs.open_output_stream(f"{self.root}/{self.temporary}", compression=None)
@@ -105,39 +107,51 @@ class _Roll:
             self.number, self.stream = self.number + 1, None
 
 
-def shard_bounds(pages: DataFrame, shards: int) -> list[int]:
-    """Ascending page_ids at which a new shard begins, from counts of ids in equal ranges; ranges that hold too many are counted again, finer."""
-    ends = pages.where(F.col("page_id").isNotNull()).agg(F.min("page_id"), F.max("page_id"), F.count("*")).first()
-    if not ends[2] or shards < 2:
-        return []
-    aim = max(1, -(-ends[2] // shards))
-    cells, todo = [], [(int(ends[0]), int(ends[1]))]
-    for _ in range(7):
-        steps = [(low, high, max(1, -(-(high - low + 1) // BUCKETS))) for low, high in todo]
-        todo = []
-        cell = F.lit(None).cast("long")
-        for low, high, step in steps:
-            cell = F.when(F.col("page_id").between(low, high), F.lit(low) + F.floor((F.col("page_id") - F.lit(low)) / F.lit(step)).cast("long") * step).otherwise(cell)
-        width = {low: (high, step) for low, high, step in steps}
-        starts = sorted(width)
-        for r in pages.select(cell.alias("cell")).where("cell is not null").groupBy("cell").count().orderBy("cell").collect():
-            low = max(x for x in starts if x <= r["cell"])
-            high, step = width[low]
-            last = min(high, r["cell"] + step - 1)
-            if r["count"] > aim and last > r["cell"] and len(todo) < 16:
-                todo.append((r["cell"], last))
-            else:
-                cells.append((r["cell"], r["count"]))
-        if not todo:
+def shard_count(total_bytes: int) -> int:
+    return max(1, -(-total_bytes // SHARD_BYTES), min(FEW_SHARDS, total_bytes // LEAST_BYTES))
+
+
+def shard_bounds(pages: DataFrame, shards: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Ascending page_ids at which a new shard begins, and (page_id, parts) of the ids that are too heavy for one. pages: page_id, payload_bytes.
+
+    Ids are counted by their upper bits; ranges that hold more than a shard's share, of which there are no more than shards, are
+    counted again by more bits, down to single ids."""
+    known = pages.where(F.col("page_id").isNotNull()).select("page_id", (F.col("payload_bytes") + 512).alias("size"))
+    low, high, total = known.agg(F.min("page_id"), F.max("page_id"), F.sum("size")).first()
+    if not total or shards < 2:
+        return [], []
+    aim = -(-total // shards)
+    shift = max(0, ((high - low) // (shards * CELLS)).bit_length())
+    cells, heavy = [], []
+    while True:
+        last = shift == 0
+        found = known.groupBy(F.shiftright("page_id", shift).alias("cell")).agg(F.sum("size").alias("size")).collect()
+        over = [r["cell"] for r in found if r["size"] > aim]
+        cells += [(r["cell"] << shift, r["size"]) for r in found if last or r["size"] <= aim]
+        if last:
+            heavy = [(r["cell"], -(-r["size"] // aim)) for r in found if r["size"] > aim]
+        if last or not over:
             break
+        wanted = pages.sparkSession.createDataFrame([(c,) for c in over], "heavy long")
+        known = known.join(F.broadcast(wanted), F.shiftright(known["page_id"], shift) == wanted["heavy"]).select("page_id", "size")
+        shift = max(0, shift - FINER)
     cells.sort()
     bounds, held = [], 0
-    for start, n in cells:
-        if held and held + n > aim:
+    for start, size in cells:
+        if held and held + size > aim:
             bounds.append(start)
             held = 0
-        held += n
-    return bounds
+        held += size
+    return bounds, heavy
+
+
+def _at_or_below(bounds: list[int], value: Column) -> Column:
+    """How many of the ascending bounds lie at or below the value, searched in two steps."""
+    step = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    group = F.size(F.filter(F.lit([g[0] for g in groups]).cast("array<bigint>"), lambda b: b <= value))
+    inside = F.get(F.array(*(F.lit(g).cast("array<bigint>") for g in groups)), group - 1)
+    return F.when(group == 0, 0).otherwise((group - 1) * step + F.size(F.filter(inside, lambda b: b <= value)))
 
 
 def revisits(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
@@ -150,35 +164,37 @@ def revisits(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
 def write_archives(pages: DataFrame, out_dir: str, shards: int | None = None, roll_bytes: int = ROLL_BYTES, date: str = DATE) -> DataFrame:
     """Writes page_id, url, html as archives under out_dir and returns the manifest."""
     spark = pages.sparkSession
-    shards = shards or process_slots(spark)
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).select("*", F.sha2("payload", 256).alias("digest"))
     narrow = written(rows.select("page_id", "digest", F.octet_length("payload").cast("long").alias("payload_bytes")), "digests")
-    bounds = shard_bounds(narrow, shards)
-    number = F.lit(0)
-    if bounds:
-        # how many bounds lie at or below the id
-        number = F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: b <= F.col("page_id")))
-    number = F.when(F.col("page_id").isNull(), F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1))).otherwise(number).cast("long")
+    shards = shards or shard_count(narrow.agg(F.sum("payload_bytes")).first()[0] or 0)
+    bounds, heavy = shard_bounds(narrow, shards)
+    spread = F.conv(F.substring("digest", 1, 12), 16, 10).cast("long")
+    number = F.when(F.col("page_id").isNull(), F.pmod(spread, F.lit(len(bounds) + 1))).otherwise(_at_or_below(bounds, F.col("page_id")) if bounds else F.lit(0)).cast("long")
+    # an id heavier than a shard: by the range that the digest lies in
+    parts = F.lit(0)
+    for page_id, n in heavy:
+        parts = F.when(F.col("page_id") == page_id, F.shiftright(spread * n, 48)).otherwise(parts)
     none = F.lit(None)
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none.cast("long").alias("refers_to")).unionByName(
         revisits(narrow).select("page_id", "digest", F.lit(0).alias("kind"), none.cast("string").alias("url"), none.cast("binary").alias("payload"), F.col("refers_to"))
     )
-    dealt = both.withColumn("shard", number).repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
+    tasks = len(bounds) + 1 + sum(n for _, n in heavy)
+    dealt = both.withColumn("shard", number).withColumn("part", parts.cast("long")).repartitionByRange(tasks, "shard", "part").sortWithinPartitions("shard", "part", "page_id", "digest", "kind", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt, roll, said, files = uuid.uuid4().hex, None, None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                page_id, digest, kind, url, payload, refers_to, shard = (batch.column(j)[i].as_py() for j in range(7))
+                page_id, digest, kind, url, payload, refers_to, shard, part = (batch.column(j)[i].as_py() for j in range(8))
                 if kind == 0:
                     said = (page_id, digest, refers_to)
                     continue
-                if roll is None or roll.shard != shard:
+                if roll is None or (roll.shard, roll.part) != (shard, part):
                     if roll is not None:
                         roll.close()
                         files += roll.done
-                    roll = _Roll(out_dir, attempt, shard, roll_bytes, date)
+                    roll = _Roll(out_dir, attempt, shard, part, roll_bytes, date)
                 roll.add(record(page_id, url, payload, digest, said[2] if said and said[:2] == (page_id, digest) else None, date))
         if roll is not None:
             roll.close()
@@ -193,6 +209,14 @@ def _batch(files: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[j] for f in files], kinds[j]) for j in range(6)], ["file", "temporary", "shard", "records", "bytes", "sha256"])
 
 
+def _digest(fs: pafs.FileSystem, path: str) -> str:
+    digest = hashlib.sha256()
+    with fs.open_input_stream(path, compression=None) as stream:
+        while data := stream.read(1 << 20):
+            digest.update(data)
+    return digest.hexdigest()
+
+
 def commit(files: DataFrame, out_dir: str) -> DataFrame:
     """Renames reported files to their final names, then writes the manifest."""
 
@@ -203,7 +227,7 @@ def commit(files: DataFrame, out_dir: str) -> DataFrame:
                 final = fs.get_file_info(f"{root}/{row['file']}")
                 if final.type == pafs.FileType.NotFound:
                     fs.move(f"{root}/{row['temporary']}", f"{root}/{row['file']}")
-                elif final.size != row["bytes"]:
+                elif final.size != row["bytes"] or _digest(fs, f"{root}/{row['file']}") != row["sha256"]:
                     raise ValueError(f"{row['file']} is there with other contents")
             yield batch
 

@@ -6,22 +6,23 @@ import random
 import re
 import time
 import uuid
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.llm import decontamination, html_text, language_id, mixing, near_dup, secrets, substring_dedup, top_k, toxicity, warc
+from sievemark.llm import common, decontamination, html_text, language_id, mixing, near_dup, secrets, substring_dedup, top_k, toxicity, warc
 from sievemark.llm.common import shared_dir
 from sievemark.llm.suffix_array import suffix_array
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, size string, h string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, size string, h string, gone_id long, bad_id long, bad_h long"
 
 
 def docs(spark, rows):
     """rows: (doc_id, text[, lang, source]); the last columns clash with names that operators use."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", None, "x", "y", "z") for r in rows]
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", None, "x", "y", "z", 0, 0, 0) for r in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 
@@ -30,8 +31,9 @@ AWKWARD = [(1, None), (2, ""), (3, "   \n"), (None, "words without an id"), (4,
 
 def test_suffix_array():
     rng = random.Random(1)
-    for _ in range(400):
+    for _ in range(3000):
         t = [rng.randrange(rng.choice([1, 2, 4])) for _ in range(rng.randrange(40))]
+        t = t + [9] + t[rng.randrange(len(t) + 1) :] if rng.random() < 0.3 else t
         assert suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
@@ -56,7 +58,7 @@ def test_substring_dedup(spark, monkeypatch):
     passage = " ".join(word() for _ in range(40))
     rows = [(i, " ".join(word() for _ in range(rng.randrange(5, 40))) + (passage[rng.randrange(60) :] if i % 3 else "") + " ".join(word() for _ in range(10))) for i in range(60)]
     rows += [(100, rows[7][1]), (101, rows[7][1] + "!"), (102, "ab" * 300), (103, "z" * 250), (104, "long line of text that repeats itself, word by word, until it is longer than a hundred bytes, surely.\n" * 5), (105, None), (106, "")]
-    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup, "SPLIT_BYTES", 2000)
     monkeypatch.setattr(substring_dedup, "COMMON", 6)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substring_dedup.dedup(docs(spark, rows)).collect()}
     assert got == brute_spans([(i, (t or "").encode()) for i, t in rows])
@@ -113,12 +115,42 @@ def test_near_dup_unlike_every_head_of_large_buckets(spark, monkeypatch):
     assert got[501][1] == 500 and got == brute_components(rows)
 
 
+def test_near_dup_large_buckets_and_heads(spark, monkeypatch):
+    for name in ("SMALL_BUCKET", "LARGE_BUCKET", "PAIRS"):
+        monkeypatch.setattr(near_dup, name, 4)
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", 10**6)
+    rng = random.Random(16)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[: i % 3], f"v{i}", *base[i % 3 + 1 :]])) for i in range(60)]
+    rows += [(100 + i, " ".join(f"u{rng.randrange(9)}" for _ in range(12))) for i in range(20)]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_dup_one_component_for_a_doc_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (9, a + " more"), (9, b), (9, None), (20, b), (30, c), (31, c), (31, a), (40, "alone")]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dup.near_duplicates(docs(spark, rows)).collect()}
+    assert {k[0]: v for k, v in got.items()} == {5: (5, True), 9: (5, False), 20: (5, False), 30: (5, False), 31: (5, False), 40: (40, True)}
+    assert len(got) == 9 - 1 and all(v == (5, False) for k, v in got.items() if k[0] == 9)
+    df = docs(spark, rows)
+    kept = near_dup.one_of_each(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [5, 40]
+
+
 def test_near_dup_nulls_and_repeats(spark):
     got = near_dup.near_duplicates(docs(spark, [(None, "a b c d e f"), (9, "a b c d e f"), (9, "a b c d e f"), (12, "a b c d e f")])).collect()
     assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [(0, None, True), (9, 9, True), (9, 9, True), (12, 9, False)]
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("plan", ["broadcast", "blocks", "shuffle", "often"])
+def test_decontamination(spark, monkeypatch, plan):
+    if plan != "broadcast":
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", 400)
+        monkeypatch.setattr(decontamination, "MOST_BLOCKS", 99 if plan == "blocks" else 0)
+    if plan == "often":
+        monkeypatch.setattr(decontamination, "OFTEN", 1)
+        monkeypatch.setattr(decontamination, "SLOTS", 4)
     rng = random.Random(4)
     item = [f"w{i}" for i in range(25)]
     bench = spark.createDataFrame([(1, " ".join(item)), (10, "tiny item"), (2, " ".join(item[5:20])), (3, None), (4, "..."), (None, "no id here"), (1, " ".join(item))], "item_id long, text string")
@@ -139,7 +171,7 @@ def test_decontamination(spark):
         want[(i, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit))] += 1
     assert got == want
     clean = decontamination.clean(docs(spark, rows), bench)
-    assert clean.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
+    assert clean.columns == docs(spark, rows).columns
     assert clean.count() == sum(n for k, n in want.items() if not k[5])
     empty = decontamination.contamination(docs(spark, rows), bench.where("false"))
     assert empty.count() == len(rows) and empty.where("contaminated").isEmpty()
@@ -159,19 +191,67 @@ def test_mixing(spark):
     assert abs(sum(t for t, _ in by) - total) < 1e-6 * total
     for (target, size), taken in by.items():
         assert target <= 3 * size + 1e-9 and abs(sum(taken) - target) <= 60
-    at = [r.position for r in out if r.position is not None]
+    at = [r.positions[0] for r in out if r.positions]
     assert at == sorted(at) and 0 <= at[0] and at[-1] <= 1
+    assert all(len(r.positions) == r.copies and r.positions == sorted(r.positions) for r in out)
     assert mixing.mix(docs(spark, rows)).collect() == out
-    assert mixing.mix(docs(spark, [])).count() == 0
-    mixed = mixing.mix(docs(spark, rows), keep=True)
-    assert mixing.training_order(mixed).count() == sum(r.copies for r in out)
+    assert mixing.mix(docs(spark, [])).count() == 0 and mixing.training_order(mixing.mix(docs(spark, []), keep=True)).count() == 0
+    order = mixing.training_order(mixing.mix(docs(spark, rows), keep=True))
+    assert order.columns[: len(docs(spark, []).columns)] == docs(spark, []).columns
+    copies = order.collect()
+    assert len(copies) == sum(r.copies for r in out) and [r.position for r in copies] == sorted(r.position for r in copies)
+
+
+def test_mixing_follows_the_schedule(spark):
+    rng = random.Random(15)
+    rows = [(i, " ".join(["w"] * rng.randrange(5, 30)), "en", s) for i, s in enumerate(["a"] * 1500 + ["b"] * 1500 + ["c"] * 1500 + ["d"] * 120)]
+    order = mixing.training_order(mixing.mix(docs(spark, rows), keep=True)).collect()
+    words = {}
+    for r in order:
+        part = words.setdefault(min(9, int(r.position * 10)), Counter())
+        part[r.source] += len(r.text.split())
+    target = {r.source: r.target for r in order}
+    slope = dict(zip("abcd", (*mixing.SLOPES, mixing.SLOPES[0]), strict=True))
+    for tenth, held in words.items():
+        for s in "abcd":
+            demand = lambda p, s=s: target[s] * (p + slope[s] * (p * p - p))
+            want = demand((tenth + 1) / 10) - demand(tenth / 10)
+            assert abs(held[s] - want) <= 0.05 * want + 60
+    assert max(Counter(r.doc_id for r in order if r.source == "d").values()) == 3
+
+
+def test_mixing_against_a_plain_version(spark):
+    rng = random.Random(17)
+    rows = [(rng.choice([i, 7, None]), " ".join(["w"] * rng.randrange(0, 40)) + f" {i % 50}", "en", rng.choice("aaab")) for i in range(300)]
+    got = Counter((r.doc_id, r.size, r.taken, tuple(round(p, 9) for p in r.positions)) for r in mixing.mix(docs(spark, rows)).collect())
+    by, want = {}, Counter()
+    for i, t, _, s in rows:
+        by.setdefault(s, []).append((int(hashlib.md5(f"{'' if i is None else i}:{t}".encode()).hexdigest()[:15], 16), i is not None, i or 0, len(t.split()), i))
+    total = sum(len(t.split()) for _, t, _, _ in rows)
+    sizes = {s: sum(x[3] for x in v) for s, v in by.items()}
+    target = {s: total * (n + 1) / 3 for n, s in enumerate("ab")}
+    if target["b"] > 3 * sizes["b"]:
+        target = {"b": 3.0 * sizes["b"], "a": total - 3.0 * sizes["b"]}
+    for n, s in enumerate("ab"):
+        k, begin = mixing.SLOPES[n], 0
+        for *_, size, i in sorted(by[s], key=lambda x: x[:4]):
+            at = []
+            for j in range(3):
+                y = (2 * (begin + j * sizes[s]) + size) / (2 * target[s])
+                if size and y < 1:
+                    at.append(round(y if k == 0 else (((1 - k) ** 2 + 4 * k * y) ** 0.5 - (1 - k)) / (2 * k), 9))
+            want[i, size, size * len(at), tuple(at)] += 1
+            begin += size
+    assert got == want
 
 
 def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(6)
     monkeypatch.setattr(top_k, "LEAST_ROWS", 64)
     monkeypatch.setattr(top_k, "LEAF", 8)
-    monkeypatch.setattr(top_k, "MAX_COMPONENTS", 12)
+    monkeypatch.setattr(top_k, "MAX_COMPONENTS", 240)
+    monkeypatch.setattr(top_k, "BOX_NUMBERS", 60)
+    monkeypatch.setattr(top_k, "QUERY_BLOCK", 30)
     vectors = rng.normal(size=(400, 6)).astype(np.float32)
     vectors[200:260] = vectors[0]
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(500, None), (550, [float("nan")] * 6), (600, [None] + [1.0] * 5), (650, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (700, [1.0, 2.0])]
@@ -189,6 +269,27 @@ def test_top_k(spark, monkeypatch):
     got = sorted(tuple(r) for r in top_k.top_k(top_k.quantised(df.where("vec_id < 400")), lambda c: c >= 0).collect())
     assert got == sorted(want)
     assert top_k.top_k(top_k.quantised(df.where("false")), lambda c: c % 50 == 0).count() == 0
+    # repeated ids: a row's own id is never a candidate, other repeated rows are, one by one
+    again = spark.createDataFrame([(50, [1.0, 0.0]), (50, [2.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [0.5, 0.0])], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in top_k.top_k(top_k.quantised(again), lambda c: c % 50 == 0, 3).collect())
+    assert got == sorted((50, n, i, s * m * 256 * 256 // 2) for m in (1, 2) for n, (i, s) in enumerate([(7, 2), (7, 2), (8, 1)], 1))
+
+
+def test_top_k_boxes_prune_clustered_shards(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "LEAST_ROWS", 50)
+    monkeypatch.setattr(top_k, "MAX_COMPONENTS", 400)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(16, 8)) * 4
+    vectors = (centres[np.arange(800) % 16] + rng.normal(size=(800, 8)) * 0.1).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    sent, away = [], top_k._reached
+    monkeypatch.setattr(top_k, "_reached", lambda *a: sent.append(away(*a)) or sent[-1])
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_k.top_k(top_k.quantised(df), lambda c: c % 50 == 0).collect()}
+    q = np.floor(256.0 * vectors.astype(np.float64)).astype(np.int64)
+    for i in range(0, 800, 50):
+        s = q @ q[i]
+        assert [got[i, n] for n in range(1, 6)] == [(j, int(s[j])) for j in sorted((j for j in range(800) if j != i), key=lambda j: (-s[j], j))[:5]]
+    assert sent[0].count() < 16 * 16 / 2  # of sixteen shards or so, a query goes to fewer than half
 
 
 def test_warc_round_trip(spark):
@@ -210,6 +311,17 @@ def test_warc_round_trip(spark):
     again = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     files = lambda m: sorted((r.file, r.sha256) for r in m.collect())
     assert files(warc.write_archives(pages.repartition(5), again, shards=3, roll_bytes=600)) == files(manifest)
+    # a commit that runs again accepts what is there, but nothing else of the same size
+    listed, known = spark.createDataFrame(manifest.collect(), manifest.schema), files(manifest)
+    fs, root = warc.file_system(out)
+    fs.delete_dir(f"{root}/manifest")
+    assert files(warc.commit(listed, out)) == known
+    fs.delete_dir(f"{root}/manifest")
+    first = listed.first()
+    with fs.open_output_stream(f"{root}/{first.file}", compression=None) as stream:
+        stream.write(b"x" * first.bytes)
+    with pytest.raises(Exception, match="other contents"):
+        warc.commit(listed, out)
     none = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(pages.where("false"), none)
     assert warc.read_archives(spark, none).count() == 0
@@ -232,6 +344,24 @@ def test_secrets(spark):
     assert {r.doc_id: r.text for r in red.collect()} == {1: "a [SECRET] b", 2: None, 3: "clean"}
 
 
+def test_warc_shards(spark):
+    assert [warc.shard_count(n) for n in (0, 1, 8 << 20, 1 << 30, 1 << 40)] == [1, 1, 2, 64, 4096]
+    rng = random.Random(18)
+    # dense ranges far apart, and one id that is heavier than a shard
+    ids = [rng.randrange(100) for _ in range(300)] + [10**12 + rng.randrange(3000) for _ in range(900)] + [-(2**60) + i for i in range(200)] + [77] * 400
+    bounds, heavy = warc.shard_bounds(spark.createDataFrame([(i, 488) for i in ids] + [(None, 9)], "page_id long, payload_bytes long"), 36)
+    assert bounds == sorted(set(bounds)) and dict(heavy)[77] > 5
+    held = Counter(sum(b <= i for b in bounds) for i in ids if i != 77)
+    assert max(held.values()) <= 2 * len(ids) / 36 and len(held) > 18
+    values = spark.createDataFrame([(i,) for i in [*ids, *bounds]], "v long").select("v", warc._at_or_below(bounds, F.col("v")).alias("n")).collect()
+    assert all(r.n == sum(b <= r.v for b in bounds) for r in values)
+    pages = spark.createDataFrame([(i, "u", f"{n} " * 200) for n, i in enumerate([77] * 60 + [1, 2, 3])], "page_id long, url string, html string")
+    out = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    assert warc.write_archives(pages, out, shards=8).where("file like 'shard-%.%-%'").count() > 3
+    assert warc.read_archives(spark, out).count() == 63
+    assert type(warc.file_system("s3a://bucket/path?region=us-east-1&endpoint_override=localhost:1")[0]).__name__ == "S3FileSystem"
+
+
 def naive_base(text):
     """The base spans, character by character."""
     found, low = [], text.lower()
@@ -343,6 +473,40 @@ def test_language_id(spark):
     assert counts[codes == ord("t")][0] == int((whole == ord("t")).sum())
 
 
+def test_language_id_equals_a_naive_distance(spark):
+    rng = random.Random(19)
+    sets = {"x": "abcde", "y": "defgh", "z": "abcdefgh"}
+    rows = [(n, " ".join("".join(rng.choice(sets[k]) for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 30))), k, "s") for n, k in enumerate("xyz" * 40)]
+    rows += [(500, "A1b", None), (501, "é漢 é", None), (502, "abc " * 30_000 + "defgh", "x"), (503, "abcd", "a tie"), (504, "abcd", "b tie")]
+    df = docs(spark, rows)
+
+    def ranked(texts):
+        n = Counter()
+        for t in texts:
+            for w in re.sub(r"[\W\d_]+", " ", t.lower()).split():
+                p = f" {w} "
+                n.update(w)
+                n.update(p[i : i + 2] for i in range(len(p) - 1))
+                n.update(p[i : i + 3] for i in range(len(p) - 2))
+        # of equal counts the smaller code, in which longer n-grams come later
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], len(x[0]), x[0]))]
+
+    rest = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    length = 25
+    profiles = {k: ranked([r[1] for r in rest if r[2] == k])[:length] for k in {r[2] for r in rest} - {None}}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(df, language_id.fit(df, length)).collect()}
+    for i, t, *_ in rows:
+        own = ranked([t])[:length]
+        far = {k: sum(abs(own.index(g) - p.index(g)) if g in p else length for g in own) for k, p in profiles.items()}
+        best = min(far, key=lambda k: (far[k], k))
+        assert got[i][0] == best and abs(got[i][1] - (1 - far[best] / (length * len(own)))) < 1e-9
+    assert language_id.identify(df.where("false"), language_id.fit(df)).count() == 0
+    many = docs(spark, [(i, "abc", f"l{i}") for i in range(700)])
+    assert len(language_id.fit(many).languages) == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(700))
+    filled = {r.doc_id: r.lang for r in language_id.keep_identified(df, language_id.fit(df)).collect()}
+    assert filled[500] in {r[2] for r in rows} - {None} and filled[0] == "x"
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     plain = lambda: " ".join(rng.choice(["river", "stone", "window", "garden", "letter", "morning", "people", "summer"]) for _ in range(20))
@@ -534,6 +698,15 @@ def test_html_keeps_headings_and_paragraphs_of_an_article():
     assert html_text.extract(page) == "One, two. Related Three. Four."
 
 
+def test_scratch_tables_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(common, "_SCRATCH", [])
+    assert common.written(spark.range(5), "numbers").count() == 5
+    folder = common._SCRATCH[0]
+    fs, path = warc.file_system(folder)
+    common.remove_scratch()
+    assert not common._SCRATCH and fs.get_file_info(path).type.name == "NotFound"
+
+
 def test_operators_take_awkward_rows(spark):
     df = docs(spark, AWKWARD)
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -1,6 +1,8 @@
 """The pipeline against a brute-force version of what its stages keep."""
 
+import hashlib
 import random
+from collections import Counter
 
 import corpus_pipeline
 from test_operators import brute_components
@@ -33,8 +35,20 @@ def test_pipeline(spark, tmp_path):
     assert set(kept[1]) == single and 100 not in single
     assert set(kept[2]) == single - {101}
     assert set(kept[3]) == set(kept[2]) and kept[3][103] == FR + " [SECRET]"
-    assert set(kept[4]) <= set(kept[3]) and docs.where("taken <= 0").isEmpty()
-    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(kept[4])
+    # the mix, by the plain rules: every copy whose middle lies below its source's target
+    left = {r.doc_id: r for r in spark.read.parquet(f"{tmp_path}/3").collect()}
+    sizes = {i: len(r.text.split()) for i, r in left.items()}
+    of = {s: sorted((int(hashlib.md5(f"{i}:{r.text}".encode()).hexdigest()[:15], 16), i) for i, r in left.items() if r.source == s) for s in ("s0", "s1", "s2")}
+    total, copies = sum(sizes.values()), Counter()
+    for n, (s, rows_of) in enumerate(sorted(of.items())):
+        target, whole, begin = total * (n + 1) / 6, sum(sizes[i] for _, i in rows_of), 0
+        assert target <= 3 * whole
+        for _, i in rows_of:
+            copies[i] = sum(begin + j * whole + sizes[i] / 2 < target for j in range(3))
+            begin += sizes[i]
+    mixed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in mixed) == +copies and [r.position for r in mixed] == sorted(r.position for r in mixed)
+    assert set(kept[4]) == set(+copies)
 
 
 def test_language_stage_rejects_unlearnt_latin_script(spark):

@@ -7,7 +7,6 @@ again as the next one's docs, so that a lost executor costs no more than the sta
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sievemark.llm import decontamination, language_id, mixing, near_dup, secrets
 from sievemark.llm.common import small_batches, table, written
@@ -17,7 +16,7 @@ LEAST_SIMILARITY = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; others go."""
+    """Documents whose language can be told, in `lang` too where that was null; others go."""
     small_batches(spark)
     return language_id.keep_identified(docs, language_id.fit(docs), LEAST_SIMILARITY)
 
@@ -40,11 +39,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, in training order, with their columns and how the mix treats them."""
-    mixed = mixing.mix(docs, keep=True).where("taken > 0")
-    own = [F.col("doc").getField(c).alias(c) for c in docs.columns]
-    added = [c for c in ("size", "source_size", "target", "taken", "copies", "position") if c not in docs.columns]
-    return mixed.select(*own, *added)
+    """A row for every copy that the mix takes, in training order, with the document's columns, how the mix treats it, and the copy's position."""
+    return mixing.training_order(mixing.mix(docs, keep=True))
 
 
 STAGES = [

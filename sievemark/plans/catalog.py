@@ -319,6 +319,21 @@ def bad_value_histogram(spark, d):
     return exploring.bad_values(synthetic.raw(spark, d))
 
 
+@query
+def official_counts(spark, d):
+    return profiling.official_counts(synthetic.raw(spark, d))
+
+
+@query
+def explore_samples(spark, d):
+    return exploring.samples(synthetic.raw(spark, d))
+
+
+@query
+def unknown_references(spark, d):
+    return exploring.unknown_references(synthetic.raw(spark, d))
+
+
 @query
 def summary_gates(spark, d):
     return lineage.summary_gates(quality.counters(_seen(spark, d)))

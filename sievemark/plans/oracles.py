@@ -129,9 +129,9 @@ r12 AS (SELECT *, {_join('u', 'm', 'r', 't')} AS p3, {_join('u', 'm', 'r', 's')}
 r13 AS (SELECT *, CASE WHEN bad IS NULL THEN p6 WHEN bad = 'R6' THEN p4 WHEN four THEN p3 ELSE p2 END AS payload, CASE WHEN why IS NULL THEN 'KEEP' ELSE 'ISOLATE' END AS disposition FROM r12),
 r14 AS (SELECT {_S}, raw_record, payload, disposition, u2 || '|' || m2 AS pair, ts, {_evs("'R0'", _ev('r1b', "'R1b'", "'repair'", 'raw_record', 'p1'), _ev('r1a', "'R1a'", "'repair'", 'p1', 'p2'), _ev('four AND p3 <> p2', "'R0'", "'repair'", 'p2', 'p3'), _ev("(bad IS NULL OR bad = 'R6') AND ms", "'R5'", "'repair'", 'p3', 'p4'), _ev('bad IS NULL AND r8a', "'R8a'", "'repair'", 'p4', 'p5'), _ev('bad IS NULL AND r8b', "'R8b'", "'repair'", 'p5', 'p6'), _ev('why IS NOT NULL', 'why', "'isolate'", 'payload', 'payload'))} AS events FROM r13),
 {_distinct('cr', 'r14', 'pair', 'ts DESC', 'R7')},
-cleaned AS ({' UNION ALL '.join(f'SELECT {_S}, raw_record, payload, events, disposition FROM {t}' for t in ('cu', 'cm', 'cr'))}),
+cleaned AS MATERIALIZED ({' UNION ALL '.join(f'SELECT {_S}, raw_record, payload, events, disposition FROM {t}' for t in ('cu', 'cm', 'cr'))}),
 evs AS (SELECT source_table, source_id, source_offset, disposition, unnest(range(len(events)))::INT AS event_order, unnest(events) AS e FROM cleaned),
-ev AS (SELECT source_table, source_id, source_offset, disposition, event_order, e.rule AS rule, e.action AS action, e.before AS before, e.after AS after, e.target AS target FROM evs)"""
+ev AS MATERIALIZED (SELECT source_table, source_id, source_offset, disposition, event_order, e.rule AS rule, e.action AS action, e.before AS before, e.after AS after, e.target AS target FROM evs)"""
 
 _F = [_nth("f", i) for i in range(5)]
 
@@ -182,7 +182,7 @@ _CLEAN = f"WITH {RAW},{RAW_IDS},{CLEAN}\n"
 _SEEN = f"WITH {RAW},{RAW_IDS},{CLEAN},{SEEN}\n"
 _SHORT = "SELECT source_table, source_offset, source_id, payload, disposition, array_to_string(list_transform(events, lambda e: e.action || ':' || e.rule), ',') AS rules FROM "
 _CNT = "n, acc, comp, cons, ud, train, valid, test, uniq_excess"
-_WINNER = "winner AS (SELECT a.source_table, a.source_id, coalesce(b.target, a.target) AS winner, CASE WHEN b.target IS NULL THEN 1 ELSE 2 END AS hops FROM (SELECT * FROM ev WHERE action = 'dedup') a LEFT JOIN (SELECT * FROM ev WHERE action = 'dedup') b ON a.target = b.source_id)"
+_WINNER = "edge AS MATERIALIZED (SELECT source_table, source_id, rule, target FROM ev WHERE action = 'dedup'), winner AS (SELECT a.source_table, a.source_id, coalesce(b.target, a.target) AS winner, CASE WHEN b.target IS NULL THEN 1 ELSE 2 END AS hops FROM edge a LEFT JOIN edge b ON a.target = b.source_id)"
 
 SQL: dict[str, str] = {
     "extract_user_ids": _RAW + "SELECT id FROM raw_user_ids",
@@ -220,7 +220,7 @@ SELECT 'user' AS kind, u AS id, count(*) AS n FROM x WHERE u NOT IN (SELECT id F
     "genre_normalise": _CLEAN + "SELECT source_id, action, before, after FROM ev WHERE rule = 'M4'",
     "genre_violations": _RAW + f"""SELECT source_offset, f[3] AS genres FROM (SELECT source_offset, string_split(raw_record, '::') AS f FROM raw_movies) WHERE len(f) = 3
   AND ({_trim('f[3]')} = '' OR (rtrim(f[3], '|') <> '' AND len(list_filter(string_split(rtrim(f[3], '|'), '|'), lambda x: NOT {_in(_trim('x'), GENRES)})) > 0))""",
-    "zip_masks": _RAW + "SELECT regexp_replace(f[5], '[0-9]', '9', 'g') AS mask, count(*) AS n FROM (SELECT string_split(raw_record, '::') AS f FROM raw_users) WHERE len(f) = 5 GROUP BY 1 ORDER BY n DESC, mask LIMIT 10",
+    "zip_masks": _RAW + "SELECT regexp_replace(f[5], '[0-9]', '9', 'g') AS mask, count(*) AS n FROM (SELECT string_split(raw_record, '::') AS f FROM raw_users) WHERE len(f) = 5 AND NOT list_contains(f, '') GROUP BY 1 ORDER BY n DESC, mask LIMIT 10",
     "validation_gates": _CLEAN + f""", {_WINNER}, w AS (SELECT winner.*, c.disposition AS fin FROM winner LEFT JOIN cleaned c ON c.source_id = winner.winner),
 k AS (SELECT * FROM cleaned WHERE disposition = 'KEEP')
 SELECT 'population' AS gate, (SELECT count(*) FROM (SELECT source_id FROM raw_users UNION ALL SELECT source_id FROM raw_movies UNION ALL SELECT source_id FROM raw_ratings) WHERE source_id NOT IN (SELECT source_id FROM cleaned)) AS violations
@@ -259,39 +259,39 @@ def _agg(checks: dict[str, str], of: str) -> str:
     return _profile({k: k for k in checks}, "SELECT " + ", ".join(f"{v} AS {k}" for k, v in checks.items()) + f" FROM {of}")
 
 
+_YEAR_END = r"'[(][0-9]{4}[)]\s*$'"
+
+
+def _complete(names: str) -> str:
+    n = names.split()
+    return f"(width = {len(n)} AND " + " AND ".join(f"{c} <> ''" for c in n) + ")"
+
+
 _LEGAL = [str(i) for i in range(21)]
 SQL["profile_users"] = _RAW + f""", d AS ({_fields('raw_users', 'id g a o z')}),
 w AS (SELECT *, row_number() OVER x AS rn, lag(raw_record) OVER x AS prev FROM d WHERE width = 5 WINDOW x AS (PARTITION BY id ORDER BY source_offset))
 {_agg({'total': 'count(*)', 'wrong_width': _if('width <> 5')}, 'd')} UNION ALL
-{_agg({'repeated_id': _if('rn > 1'), 'conflicting_id': _if('raw_record <> prev'), 'bad_id': _if('NOT ' + _full('id', '[0-9]+')), 'bad_gender': _if("g NOT IN ('F', 'M')"), 'bad_age': _if('NOT ' + _in('a', AGES)), 'bad_occupation': _if('NOT ' + _in('o', _LEGAL)), 'bad_zip': _if('NOT ' + _full('z', '[0-9]{5}')), 'distinct_id': 'count(DISTINCT id)'}, 'w')}"""
+{_agg({'repeated_id': _if('rn > 1'), 'conflicting_id': _if('raw_record <> prev'), 'bad_id': _if('NOT ' + _full('id', '[0-9]+')), 'bad_gender': _if("g NOT IN ('F', 'M')"), 'bad_age': _if('NOT ' + _in('a', AGES)), 'bad_occupation': _if('NOT ' + _in('o', _LEGAL)), 'bad_zip': _if('NOT ' + _full('z', '[0-9]{5}(-[0-9]{4})?')), 'distinct_id': 'count(DISTINCT id)'}, 'w')}"""
 SQL["profile_movies"] = _RAW + f""", d AS ({_fields('raw_movies', 'id t g')}),
-w AS (SELECT *, row_number() OVER x AS rn, lag(raw_record) OVER x AS prev, string_split(g, '|') AS gs FROM d WHERE width = 3 WINDOW x AS (PARTITION BY id ORDER BY source_offset))
+w AS (SELECT *, row_number() OVER x AS rn, lag(raw_record) OVER x AS prev, CASE WHEN trim(g) = '' THEN [] ELSE string_split(g, '|') END AS gs FROM d WHERE width = 3 WINDOW x AS (PARTITION BY id ORDER BY source_offset))
 {_agg({'total': 'count(*)', 'wrong_width': _if('width <> 3')}, 'd')} UNION ALL
-{_agg({'repeated_id': _if('rn > 1'), 'conflicting_id': _if('raw_record <> prev'), 'bad_id': _if('NOT ' + _full('id', '[0-9]+')), 'empty_title': _if(_trim('t') + " = ''"), 'mojibake': _if("regexp_matches(t, '[ÃÂ]')"), 'no_year': _if("NOT regexp_matches(t, '[(][0-9]{4}[)]\\s*$')"), 'empty_genres': _if(_trim('g') + " = ''"), 'repeated_genre': _if('len(list_distinct(gs)) < len(gs)'), 'unknown_genre': _if(f"len(list_filter(gs, lambda x: NOT {_in('x', GENRES)})) > 0"), 'distinct_id': 'count(DISTINCT id)'}, 'w')}"""
+{_agg({'repeated_id': _if('rn > 1'), 'conflicting_id': _if('raw_record <> prev'), 'bad_id': _if('NOT ' + _full('id', '[0-9]+')), 'empty_title': _if(_trim('t') + " = ''"), 'mojibake': _if("regexp_matches(t, 'Ã|Â|â|€|¢|ð')"), 'no_year': _if("NOT regexp_matches(t, '[(][0-9]{4}[)]\\s*$')"), 'empty_genres': _if(_trim('g') + " = ''"), 'repeated_genre': _if('len(list_distinct(gs)) < len(gs)'), 'unknown_genres': f"coalesce(sum(len(list_filter(gs, lambda x: NOT {_in('x', GENRES)}))), 0)", 'distinct_id': 'count(DISTINCT id)'}, 'w')}"""
 SQL["profile_ratings"] = _RAW + f""", d AS ({_fields('raw_ratings', 'u m r t')}),
 w AS (SELECT *, {_number('t')} AS ts, row_number() OVER x AS rn, first_value(r) OVER x AS r1 FROM d WHERE width = 4 WINDOW x AS (PARTITION BY u, m ORDER BY source_offset)),
 p AS (SELECT u, m, count(*) AS k FROM w GROUP BY 1, 2)
 {_agg({'total': 'count(*)', 'wrong_width': _if('width <> 4')}, 'd')} UNION ALL
-{_agg({'bad_id': _if(f"NOT ({_full('u', '[0-9]+')} AND {_full('m', '[0-9]+')})"), 'bad_rating': _if('NOT ' + _full('r', '[1-5]')), 'bad_time': _if('ts IS NULL'), 'time_outside': _if('ts NOT BETWEEN 788918400 AND 1136073599'), 'extra_rows': _if('rn > 1'), 'rating_conflict': _if('r <> r1'), 'unknown_user': _if(_full('u', '[0-9]+') + ' AND u NOT IN (SELECT id FROM raw_user_ids)'), 'unknown_movie': _if(_full('m', '[0-9]+') + ' AND m NOT IN (SELECT id FROM raw_movie_ids)'), 'first_time': 'min(ts) FILTER (ts BETWEEN 788918400 AND 1136073599)', 'last_time': 'max(ts) FILTER (ts BETWEEN 788918400 AND 1136073599)'}, 'w')} UNION ALL
+{_agg({'bad_user': _if('NOT ' + _full('u', '[0-9]+')), 'bad_movie': _if('NOT ' + _full('m', '[0-9]+')), 'bad_rating': _if('NOT ' + _full('r', '[1-5]')), 'bad_time': _if('ts IS NULL'), 'time_outside': _if('ts NOT BETWEEN 788918400 AND 1104537600'), 'extra_rows': _if('rn > 1'), 'rating_conflict': _if('r <> r1'), 'unknown_user': _if(_full('u', '[0-9]+') + ' AND u NOT IN (SELECT id FROM raw_user_ids)'), 'unknown_movie': _if(_full('m', '[0-9]+') + ' AND m NOT IN (SELECT id FROM raw_movie_ids)'), 'first_time': 'min(ts) FILTER (ts BETWEEN 788918400 AND 1104537600)', 'last_time': 'max(ts) FILTER (ts BETWEEN 788918400 AND 1104537600)'}, 'w')} UNION ALL
 {_agg({'distinct_pairs': 'count(*)', 'repeated_pairs': _if('k > 1')}, 'p')}"""
-SQL["ratings_per_user_stats"] = _RAW + f""", p AS (SELECT u, count(*) AS k FROM ({_fields('raw_ratings', 'u m r t')}) WHERE width = 4 AND {_full('u', '[0-9]+')} GROUP BY 1)
+SQL["ratings_per_user_stats"] = _RAW + f""", p AS (SELECT u, count(*) AS k FROM ({_fields('raw_ratings', 'u m r t')}) WHERE {_complete('u m r t')} GROUP BY 1)
 SELECT count(*) AS users, min(k) AS least, list_sort(list(k))[count(*) // 2 + 1] AS upper_median, max(k) AS most, count(*) FILTER (k > 2000) AS heavy FROM p"""
-SQL["id_gaps"] = _RAW + f", p AS (SELECT {_number('id')} AS i FROM ({_fields('raw_movies', 'id t g')})) SELECT min(i) AS low, max(i) AS high, max(i) - min(i) + 1 - count(DISTINCT i) AS gaps FROM p"
-SQL["title_conflicts"] = _RAW + f""", d AS (SELECT * FROM ({_fields('raw_movies', 'id t g')}) WHERE width = 3), p AS (SELECT id, count(DISTINCT t) AS t, count(DISTINCT g) AS g, count(*) AS k FROM d GROUP BY 1)
-SELECT 'title_with_ids' AS kind, count(*) AS n FROM (SELECT t FROM d GROUP BY t HAVING count(DISTINCT id) > 1) UNION ALL SELECT 'id_with_titles', count(*) FILTER (t > 1) FROM p UNION ALL SELECT 'id_with_genres', count(*) FILTER (g > 1) FROM p UNION ALL SELECT 'id_with_rows', count(*) FILTER (k > 1) FROM p"""
+SQL["id_gaps"] = _RAW + f", p AS (SELECT id, {_number('id')} AS i FROM ({_fields('raw_movies', 'id t g')}) WHERE {_complete('id t g')}) SELECT min(i) AS low, max(i) AS high, max(i) - min(i) + 1 - count(DISTINCT id) AS gaps FROM p"
+SQL["title_conflicts"] = _RAW + f""", d AS (SELECT *, {_trim(f"regexp_replace(t, {_YEAR_END}, '')")} AS name FROM ({_fields('raw_movies', 'id t g')}) WHERE {_complete('id t g')}), p AS (SELECT id, count(DISTINCT t) AS t, count(DISTINCT g) AS g, count(*) AS k FROM d GROUP BY 1)
+SELECT 'name_with_ids' AS kind, count(*) AS n FROM (SELECT name FROM d GROUP BY name HAVING count(DISTINCT id) > 1) UNION ALL SELECT 'id_with_titles', count(*) FILTER (t > 1) FROM p UNION ALL SELECT 'id_with_genres', count(*) FILTER (g > 1) FROM p UNION ALL SELECT 'id_with_rows', count(*) FILTER (k > 1) FROM p"""
 
 _P = [f"CASE WHEN split_part(payload, '::', {i}) <> 'NULL' THEN split_part(payload, '::', {i}) END" for i in range(1, 6)]
 _REL = f", {_WINNER}, rel AS (SELECT winner, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS related FROM winner GROUP BY 1)\n"
 
 
-_YEAR_END = r"'[(][0-9]{4}[)]\s*$'"
-
-
-def _complete(names: str) -> str:
-    n = names.split()
-    return f"(width = {len(n)} AND " + " AND ".join(f"{c} <> ''" for c in n) + ")"
-
-
 def _explored(table: str, names: str, more: str = "") -> str:
     return _RAW + f", d AS (SELECT *, {_complete(names)} AS ok{more} FROM ({_fields('raw_' + table, names)}))"
 
@@ -304,15 +304,15 @@ SQL["explore_movies"] = _explored("movies", "id t g", ", list_transform(string_s
 {_agg({'incomplete': _if('NOT ok'), 'beyond_ascii': _if('ok AND octet_length(encode(t)) > length(t)'), 'padded_title': _if(f"ok AND {_trim('t')} <> t"), 'no_year': _if(f"ok AND NOT regexp_matches(t, {_YEAR_END})"), 'empty_genres': _if(f"ok AND {_trim('g')} = ''"), 'unknown_genre': _if(f"ok AND len(list_filter(gs, lambda x: NOT {_in('x', GENRES)})) > 0")}, 'd')} UNION ALL
 {_agg({'name_with_ids': _if('k > 1')}, 'p')}"""
 SQL["explore_ratings"] = _explored("ratings", "u m r t", f", {_number('r')} AS rv, {_number('t')} AS ts") + f""", p AS (SELECT u, m, count(*) AS k, count(DISTINCT rv) AS v FROM d WHERE ok GROUP BY 1, 2)
-{_agg({'incomplete': _if('NOT ok'), 'no_integer': _if('ok AND rv IS NULL'), 'outside_1_5': _if('ok AND rv NOT BETWEEN 1 AND 5'), 'no_time': _if('ok AND ts IS NULL'), 'time_implausible': _if('ok AND ts NOT BETWEEN 631123200 AND 1047791999')}, 'd')} UNION ALL
+{_agg({'incomplete': _if('NOT ok'), 'no_integer': _if('ok AND rv IS NULL'), 'outside_1_5': _if('ok AND rv NOT BETWEEN 1 AND 5'), 'no_time': _if('ok AND ts IS NULL'), 'time_implausible': _if('width = 4 AND ts NOT BETWEEN 631123200 AND 1047791999'), 'first_time': 'min(ts) FILTER (ok)', 'last_time': 'max(ts) FILTER (ok)'}, 'd')} UNION ALL
 {_agg({'repeated_pairs': _if('k > 1'), 'conflicting_pairs': _if('v > 1'), 'rows_of_repeated_pairs': 'coalesce(sum(k) FILTER (k > 1), 0)::BIGINT'}, 'p')}"""
 SQL["most_repeated_pairs"] = _explored("ratings", "u m r t") + "SELECT u, m, count(*) AS n FROM d WHERE ok GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, u, m LIMIT 5"
 SQL["most_active_users"] = _explored("ratings", "u m r t") + "SELECT u, count(*) AS n FROM d WHERE ok GROUP BY 1 ORDER BY n DESC, u LIMIT 5"
 SQL["value_histogram"] = _explored("ratings", "u m r t") + f"SELECT {_number('r')} AS rating, count(*) AS n FROM d WHERE ok GROUP BY 1 HAVING rating IS NOT NULL"
 SQL["width_histogram"] = _RAW + "SELECT source_table, len(string_split(raw_record, '::')) AS width, count(*) AS n FROM (SELECT source_table, raw_record FROM raw_users UNION ALL SELECT source_table, raw_record FROM raw_movies UNION ALL SELECT source_table, raw_record FROM raw_ratings) GROUP BY 1, 2"
-SQL["bad_value_histogram"] = _RAW + f""", u AS (SELECT * FROM ({_fields('raw_users', 'id g a o z')}) WHERE width = 5), m AS (SELECT unnest(string_split(g, '|')) AS x FROM ({_fields('raw_movies', 'id t g')}) WHERE width = 3), r AS (SELECT * FROM ({_fields('raw_ratings', 'u m r t')}) WHERE width = 4), b AS (
+SQL["bad_value_histogram"] = _RAW + f""", u AS (SELECT * FROM ({_fields('raw_users', 'id g a o z')}) WHERE width = 5), m AS (SELECT unnest(string_split(g, '|')) AS x FROM ({_fields('raw_movies', 'id t g')}) WHERE width = 3 AND trim(g) <> ''), r AS (SELECT * FROM ({_fields('raw_ratings', 'u m r t')}) WHERE width = 4), b AS (
 SELECT 'users' AS source_table, 'gender' AS field, left(g, 12) AS value FROM u WHERE g NOT IN ('F', 'M') UNION ALL SELECT 'users', 'age', left(a, 12) FROM u WHERE NOT {_in('a', AGES)} UNION ALL
-SELECT 'users', 'occupation', left(o, 12) FROM u WHERE NOT {_in('o', _LEGAL)} UNION ALL SELECT 'users', 'zip', left(z, 10) FROM u WHERE NOT {_full('z', '[0-9]{5}')} UNION ALL
+SELECT 'users', 'occupation', left(o, 12) FROM u WHERE NOT {_in('o', _LEGAL)} UNION ALL SELECT 'users', 'zip', left(z, 10) FROM u WHERE NOT {_full('z', '[0-9]{5}(-[0-9]{4})?')} UNION ALL
 SELECT 'movies', 'genre', left(x, 16) FROM m WHERE NOT {_in('x', GENRES)} UNION ALL SELECT 'ratings', 'rating', left(r, 8) FROM r WHERE NOT {_full('r', '[1-5]')})
 SELECT source_table, field, value, count(*) AS n FROM b GROUP BY 1, 2, 3"""
 SQL["summary_gates"] = _SEEN + f"""SELECT 'six_tables' AS gate, abs(count(*) - 6)::BIGINT AS violations FROM cnt UNION ALL
@@ -335,3 +335,15 @@ SQL["typed_movies"] = _typed("cm", f"{_P[0]} AS movie_id, {_P[1]} AS title, CASE
 SQL["typed_ratings"] = _typed("cr", f"{_P[0]} AS user_id, {_P[1]} AS movie_id, CAST({_P[2]} AS TINYINT) AS rating, CAST({_P[3]} AS BIGINT) AS timestamp_seconds")
 SQL["number_whitelist"] = """WITH s AS (SELECT try_cast(unnest(regexp_extract_all(text, '[0-9]+\\.[0-9]{2}')) AS DECIMAL(18, 2)) AS number FROM documents)
 SELECT CAST(number AS VARCHAR) AS number, count(*) AS n FROM s WHERE number IS NOT NULL AND number NOT IN (SELECT CAST(round(s_acctbal, 2) AS DECIMAL(18, 2)) FROM supplier WHERE s_acctbal IS NOT NULL) GROUP BY 1"""
+
+SQL["official_counts"] = _RAW + """SELECT source_table, official::BIGINT AS official, n, n - official AS surplus FROM (SELECT 'users' AS source_table, 6040 AS official, (SELECT count(*) FROM customer) AS n UNION ALL
+SELECT 'movies', 3883, (SELECT count(*) FROM part) UNION ALL SELECT 'ratings', 1000209, (SELECT count(*) FROM events))"""
+SQL["explore_samples"] = _RAW + f""", u AS (SELECT *, {_complete('id g a o z')} AS ok FROM ({_fields('raw_users', 'id g a o z')})), m AS (SELECT *, {_complete('id t g')} AS ok FROM ({_fields('raw_movies', 'id t g')})), r AS (SELECT *, {_complete('u m r t')} AS ok, {_number('r')} AS rv FROM ({_fields('raw_ratings', 'u m r t')})),
+o AS (SELECT 'users' AS source_table, 'incomplete' AS kind, source_offset, raw_record FROM u WHERE NOT ok UNION ALL SELECT 'users', 'bad_gender', source_offset, raw_record FROM u WHERE ok AND g NOT IN ('F', 'M')
+UNION ALL SELECT 'users', 'bad_zip', source_offset, raw_record FROM u WHERE ok AND NOT {_full('z', '[0-9]{5}')} UNION ALL SELECT 'movies', 'incomplete', source_offset, raw_record FROM m WHERE NOT ok
+UNION ALL SELECT 'movies', 'padded_title', source_offset, raw_record FROM m WHERE ok AND {_trim('t')} <> t UNION ALL SELECT 'movies', 'no_year', source_offset, raw_record FROM m WHERE ok AND NOT regexp_matches(t, {_YEAR_END})
+UNION ALL SELECT 'ratings', 'incomplete', source_offset, raw_record FROM r WHERE NOT ok UNION ALL SELECT 'ratings', 'no_integer', source_offset, raw_record FROM r WHERE ok AND rv IS NULL
+UNION ALL SELECT 'ratings', 'outside_1_5', source_offset, raw_record FROM r WHERE ok AND (rv < 1 OR rv > 5) UNION ALL SELECT 'ratings', 'no_time', source_offset, raw_record FROM r WHERE ok AND NOT {_full('t', '[0-9]+')})
+SELECT source_table, kind, source_offset, raw_record, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY source_table, kind ORDER BY source_offset) AS place FROM o) WHERE place <= 3"""
+SQL["unknown_references"] = _RAW + f""", u AS (SELECT DISTINCT id FROM ({_fields('raw_users', 'id g a o z')}) WHERE {_complete('id g a o z')}), m AS (SELECT DISTINCT id FROM ({_fields('raw_movies', 'id t g')}) WHERE {_complete('id t g')}), r AS (SELECT * FROM ({_fields('raw_ratings', 'u m r t')}) WHERE {_complete('u m r t')})
+SELECT DISTINCT 'user' AS kind, u AS id FROM r WHERE u NOT IN (SELECT id FROM u) UNION ALL SELECT DISTINCT 'movie', m FROM r WHERE m NOT IN (SELECT id FROM m)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -50,7 +51,7 @@ if __name__ == "__main__":
 
     from sievemark.session import local_session
 
-    spark = local_session(8, 4)
+    spark = local_session(int(os.environ.get("ORACLE_CORES", "8")), 4)
     sf_dir, only = (sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"), sys.argv[2:]
     queries, oracles = entry.queries(), entry.oracle_sql()
     for name, run in queries.items():

@@ -71,7 +71,8 @@ def clean_users(lines: DataFrame) -> DataFrame:
     return _distinct(d.select(*KEPT, "uid", "score"), "uid", [F.desc("score")], "U6").select(*KEPT)
 
 
-def clean_movies(lines: DataFrame) -> DataFrame:
+def first_stage_movies(lines: DataFrame) -> DataFrame:
+    """The rules on rows and the first of each id; title_key is what the second stage goes by."""
     c = F.col
     d = lines.withColumn("f0", X.fields(c("raw_record")))
     d = d.select(*lines.columns, "f0", *(X.jtrim(X.at(c("f0"), i)).alias(n) for i, n in enumerate(("mid", "t1", "g1"))))
@@ -92,8 +93,20 @@ def clean_movies(lines: DataFrame) -> DataFrame:
     score = F.lit(1) + c("year").isNotNull().cast("int") + (c("g2") != "NULL").cast("int")
     title = F.when(c("year").isNotNull(), F.concat_ws("|", X.plain_title(c("t2")), c("year"))).otherwise(F.concat(F.lit("\x00"), c("source_id")))
     d = d.withColumn("events", events).withColumn("score", score).withColumn("title_key", title)
-    first = _distinct(d.select(*KEPT, "mid", "score", "title_key"), "mid", [F.desc("score")], "M5a")
-    return _distinct(first, "title_key", [F.desc("score")], "M5b").select(*KEPT)
+    return _distinct(d.select(*KEPT, "mid", "score", "title_key"), "mid", [F.desc("score")], "M5a")
+
+
+def second_stage_movies(first: DataFrame) -> DataFrame:
+    """Isolates survivors whose payload is no longer three fields, and keeps the first of each title and year."""
+    broken = (F.col("disposition") == "KEEP") & (F.size(X.fields(F.col("payload"))) != 3)
+    event = F.array(F.struct(F.lit("M5b-invalid").alias("rule"), F.lit("isolate").alias("action"), F.col("payload").alias("before"), F.col("payload").alias("after"), F.lit(None).cast("string").alias("target")))
+    sound = first.withColumn("_broken", broken).withColumn("events", F.when(F.col("_broken"), F.concat("events", event)).otherwise(F.col("events")))
+    sound = sound.withColumn("disposition", F.when(F.col("_broken"), "ISOLATE").otherwise(F.col("disposition"))).drop("_broken")
+    return _distinct(sound, "title_key", [F.desc("score")], "M5b").select(*KEPT)
+
+
+def clean_movies(lines: DataFrame) -> DataFrame:
+    return second_stage_movies(first_stage_movies(lines))
 
 
 def reference_ids(cleaned: DataFrame) -> DataFrame:

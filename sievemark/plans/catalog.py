@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
 from sievemark.operators import artifacts, cleaning, exploring, lineage, profiling, quality
-from sievemark.plans import oracles, relational
+from sievemark.plans import oracles, relational, stored, validated
 from sievemark.sources import synthetic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = oracles.SQL | relational.SQL
+ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -366,4 +366,4 @@ def number_whitelist(spark, d):
     return numbers.join(facts, F.col("number") == F.col("fact"), "left_anti").select(F.col("number").cast("string").alias("number"), "n")
 
 
-QUERIES |= {name: relational.runner(name) for name in relational.SQL}
+QUERIES |= stored.QUERIES | validated.QUERIES | {name: relational.runner(name) for name in relational.SQL}

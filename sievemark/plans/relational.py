@@ -17,35 +17,15 @@ _RUNS = """WITH runs AS (
   FROM orders)
 """
 _TASKS = """WITH tasks AS (
-  SELECT l_orderkey % 12 AS stage, CASE WHEN l_linenumber % 2 = 0 THEN 'REDUCE' ELSE 'MAP' END AS phase, (l_orderkey * 31 + l_partkey * 17) % 9973 AS millis,
-    CASE WHEN l_partkey % 11 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state, (l_partkey * 7 + l_suppkey) % 997 AS records, l_orderkey % 2 AS side
+  SELECT l_orderkey % 12 AS stage, CASE WHEN l_partkey % 2 = 0 THEN 'REDUCE' ELSE 'MAP' END AS phase, (l_orderkey * 31 + l_partkey * 17) % 9973 AS millis,
+    CASE WHEN l_partkey % 11 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state, (l_partkey * 7 + l_suppkey) % 997 AS records, l_linenumber % 2 AS side
   FROM lineitem)
 """
-_FILES = """WITH files AS (
-  SELECT event_id, '/ml/' || CASE event_id % 6 WHEN 0 THEN 'published/p' || CAST(user_id % 40 AS VARCHAR(20)) WHEN 1 THEN 'raw/v' || CAST(user_id % 9 AS VARCHAR(20)) WHEN 2 THEN 'staging/run=' || CAST(user_id % 50 AS VARCHAR(20))
-    WHEN 3 THEN 'staging/uploads' WHEN 4 THEN 'staging/run=' || CAST(user_id % 50 + 900 AS VARCHAR(20)) ELSE 'other' END || '/f' || CAST(event_id AS VARCHAR(20)) AS path, event_id % 1000 AS bytes, event_id % 400 AS age_days
-  FROM events
-), publications AS (
-  SELECT o_orderkey % 40 AS publish_id, '/ml/published/p' || CAST(o_orderkey % 40 AS VARCHAR(20)) AS storage_path, o_orderkey AS token, CASE WHEN o_orderstatus = 'F' THEN 'PUBLISHED' ELSE 'UPLOADING' END AS status FROM orders WHERE o_orderkey < 60
-), live AS (
-  SELECT publish_id, storage_path, status, token FROM (SELECT *, max(token) OVER (PARTITION BY publish_id) AS newest FROM publications) p WHERE token = newest
-), attempts AS (
-  SELECT CAST(c_custkey AS VARCHAR(20)) AS run, CASE WHEN c_custkey % 3 = 0 THEN 'FAILED' WHEN c_custkey % 3 = 1 THEN 'RUNNING' ELSE 'PUBLISHED' END AS status, c_custkey % 2 = 0 AS lease_alive FROM customer WHERE c_custkey < 50
-), classed AS (
-  SELECT f.event_id, f.path, f.bytes, f.age_days, a.run, a.status AS attempt_status, a.lease_alive,
-    CASE WHEN l.status = 'PUBLISHED' THEN 'PROTECTED_PUBLISHED' WHEN l.status IS NOT NULL THEN 'PENDING_PUBLICATION' WHEN f.path LIKE '/ml/raw/%' THEN 'PROTECTED_RAW'
-      WHEN f.path LIKE '/ml/staging/run=%' AND a.run IS NULL THEN 'UNREGISTERED_ATTEMPT_REVIEW' WHEN f.path LIKE '/ml/staging/run=%' AND a.status = 'RUNNING' AND a.lease_alive THEN 'ACTIVE_ATTEMPT'
-      WHEN f.path LIKE '/ml/staging/run=%' AND a.status = 'RUNNING' THEN 'RECOVERY_REQUIRED' WHEN f.path LIKE '/ml/staging/run=%' THEN 'RETAINED_ATTEMPT_HISTORY'
-      WHEN f.path LIKE '/ml/staging/uploads/%' THEN 'UNREFERENCED_UPLOAD_REVIEW' ELSE 'UNREGISTERED_PATH_REVIEW' END AS classification
-  FROM files f LEFT JOIN live l ON split_part(f.path, '/', 3) = 'published' AND l.storage_path = '/ml/published/' || split_part(f.path, '/', 4)
-    LEFT JOIN attempts a ON split_part(f.path, '/', 3) = 'staging' AND split_part(f.path, '/', 4) = 'run=' || a.run)
-"""
-
 SQL: dict[str, str] = {
     "history_counts": _RUNS + """SELECT dataset, metric_version, count(*) AS runs, sum(CASE WHEN status = 'PUBLISHED' THEN 1 ELSE 0 END) AS published, sum(CASE WHEN up_to_date IS NULL THEN 1 ELSE 0 END) AS without_time FROM runs GROUP BY dataset, metric_version""",
     "history_transitions": _RUNS + """, listed AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY request_seq) AS place FROM runs WHERE status = 'PUBLISHED'), pairs AS (
   SELECT *, lag(request_seq) OVER w AS before_seq, lag(accurate) OVER w AS before_accurate, lag(up_to_date) OVER w AS before_time, lag(repaired) OVER w AS before_repaired, lag(metric_version) OVER w AS before_metric, lag(rule_version) OVER w AS before_rule
-  FROM listed WHERE place <= 10 WINDOW w AS (PARTITION BY dataset ORDER BY place))
+  FROM listed WINDOW w AS (PARTITION BY dataset ORDER BY place))
 SELECT dataset, before_seq, request_seq, CASE WHEN metric_version = before_metric THEN accurate - before_accurate END AS accurate_delta, CASE WHEN metric_version = before_metric THEN up_to_date - before_time END AS time_delta,
   CASE WHEN rule_version = before_rule THEN repaired - before_repaired END AS repaired_delta FROM pairs WHERE before_seq IS NOT NULL""",
     "run_comparison": _RUNS + """, scores AS (SELECT request_seq, metric_version, 'accurate' AS metric, accurate AS score FROM runs UNION ALL SELECT request_seq, metric_version, 'complete', complete FROM runs UNION ALL SELECT request_seq, metric_version, 'up_to_date', up_to_date FROM runs),
@@ -63,16 +43,16 @@ SELECT dataset, request_seq, status FROM placed WHERE place = 1""",
 SELECT stage, phase, max(n) AS n, min(millis) AS least, CAST(median(millis) AS DOUBLE) AS median, min(CASE WHEN place * 100 >= 95 * n THEN millis END) AS p95, max(millis) AS most FROM placed GROUP BY stage, phase""",
     "baseline_delta": _TASKS + """, sums AS (SELECT stage, side, sum(millis) AS total FROM tasks GROUP BY stage, side), a AS (SELECT stage, total FROM sums WHERE side = 0), b AS (SELECT stage AS stage_b, total AS total_b FROM sums WHERE side = 1)
 SELECT stage, total AS before_ms, total_b AS after_ms, total_b - total AS delta_ms, CASE WHEN total <> 0 THEN CAST((total_b - total) * 10000 AS DOUBLE) / CAST(total AS DOUBLE) END AS change FROM a JOIN b ON stage = stage_b""",
-    "partition_skew": _TASKS + """SELECT stage, CAST(median(CASE WHEN records > 0 THEN records END) AS DOUBLE) AS median, max(records) AS most, sum(CASE WHEN records = 0 THEN 1 ELSE 0 END) AS empty, sum(records) AS total FROM tasks WHERE phase = 'REDUCE' GROUP BY stage""",
+    "partition_skew": _TASKS + """SELECT stage, CAST(median(CASE WHEN records > 0 THEN records END) AS DOUBLE) AS median, max(records) AS most, CAST(max(records) AS DOUBLE) / CAST(median(CASE WHEN records > 0 THEN records END) AS DOUBLE) AS most_over_median, sum(CASE WHEN records = 0 THEN 1 ELSE 0 END) AS empty, sum(records) AS total FROM tasks WHERE phase = 'REDUCE' GROUP BY stage""",
     "attempt_states": _TASKS + "SELECT stage, sum(CASE WHEN state = 'FAILED' THEN 1 ELSE 0 END) AS failed, sum(CASE WHEN state = 'FAILED' THEN 0 ELSE 1 END) AS succeeded, sum(CASE WHEN state = 'FAILED' THEN millis ELSE 0 END) AS lost_ms FROM tasks GROUP BY stage",
-    "storage_classification": _FILES + "SELECT classification, count(*) AS files, sum(bytes) AS bytes FROM classed GROUP BY classification",
-    "retention_candidates": _FILES + "SELECT path, bytes, CASE WHEN attempt_status = 'FAILED' AND NOT lease_alive AND age_days > 30 THEN 'FAILED_ATTEMPT_RETENTION_EXPIRED' ELSE classification END AS reason FROM classed WHERE path LIKE '/ml/staging/%'",
     "claim_validation": _RUNS + """, claims AS (SELECT request_seq, CASE WHEN request_seq % 3 = 0 THEN accurate + 1 ELSE accurate END AS said, CASE WHEN request_seq % 4 = 1 THEN 'complete' ELSE 'accurate' END AS field FROM runs),
   checked AS (SELECT c.request_seq, c.field, c.said, CASE WHEN c.field = 'accurate' THEN r.accurate ELSE r.complete END AS fact FROM claims c JOIN runs r ON c.request_seq = r.request_seq)
 SELECT field, CASE WHEN said = fact THEN 'VERIFIED' ELSE 'REJECTED' END AS verdict, count(*) AS n FROM checked GROUP BY 1, 2""",
-    "history_series": _RUNS + """, named AS (SELECT o.*, row_number() OVER (PARTITION BY dataset ORDER BY request_seq) AS place FROM runs o WHERE status = 'PUBLISHED')
-SELECT dataset, max(CASE WHEN place = 1 THEN accurate END) AS run1, max(CASE WHEN place = 2 THEN accurate END) AS run2, max(CASE WHEN place = 3 THEN accurate END) AS run3, max(CASE WHEN place = 3 THEN repaired END) - max(CASE WHEN place = 1 THEN repaired END) AS repaired_delta
-FROM named WHERE place <= 3 GROUP BY dataset HAVING count(*) >= 2""",
+    "history_series": _RUNS + """, named AS (SELECT o.*, row_number() OVER (PARTITION BY dataset ORDER BY request_seq) AS place FROM runs o WHERE status = 'PUBLISHED'), rows_of AS (SELECT l_orderkey AS of_seq, count(*) AS n_rows, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_rated FROM lineitem GROUP BY l_orderkey),
+  pairs AS (SELECT n.*, coalesce(n_rows, 0) AS n_rows, coalesce(n_rated, 0) AS n_rated FROM named n LEFT JOIN rows_of ON of_seq = request_seq),
+  stepped AS (SELECT *, lag(request_seq) OVER w AS left_seq, lag(metric_version) OVER w AS left_metric, lag(rule_version) OVER w AS left_rule, lag(accurate) OVER w AS left_accurate, lag(repaired) OVER w AS left_repaired, lag(n_rows) OVER w AS left_rows, lag(n_rated) OVER w AS left_rated FROM pairs WINDOW w AS (PARTITION BY dataset ORDER BY place))
+SELECT dataset, place, request_seq, left_seq, CASE WHEN left_metric <> metric_version THEN 1 ELSE 0 END + CASE WHEN left_rule <> rule_version THEN 2 ELSE 0 END AS changed_versions, CASE WHEN left_metric = metric_version THEN accurate - left_accurate END AS accurate_delta,
+  CASE WHEN left_rule = rule_version THEN repaired - left_repaired END AS repaired_delta, n_rows - left_rows AS row_delta, n_rated - left_rated AS rating_count_delta FROM stepped""",
     "current_result": _RUNS + """, published AS (SELECT request_seq AS publish_seq, dataset AS of_dataset FROM runs WHERE status = 'PUBLISHED'), latest AS (SELECT of_dataset AS current_dataset, max(publish_seq) AS current_seq FROM published GROUP BY of_dataset)
 SELECT r.request_seq, r.dataset, r.status, p.publish_seq IS NOT NULL AS published, c.current_seq IS NOT NULL AS is_current FROM runs r LEFT JOIN published p ON p.publish_seq = r.request_seq LEFT JOIN latest c ON c.current_seq = p.publish_seq AND c.current_dataset = r.dataset""",
     "alias_resolution": """WITH aliases AS (SELECT DISTINCT o_orderpriority || '-' || CAST(o_custkey % 50 AS VARCHAR(20)) AS alias, o_custkey % 211 AS archive FROM orders), found AS (SELECT alias, count(*) AS n, min(archive) AS archive FROM aliases GROUP BY alias)
@@ -84,7 +64,7 @@ SELECT coalesce(file, held) AS file, CASE WHEN held IS NULL THEN 'MISSING' ELSE
     "backup_coverage": _RUNS + """, copies AS (SELECT o_orderkey AS copied_seq, o_orderkey * 37 % 10001 + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS copied_value FROM orders WHERE o_orderkey % 13 <> 0)
 SELECT CASE WHEN copied_seq IS NULL THEN 'ABSENT' WHEN copied_value <> accurate THEN 'DIFFERENT' ELSE 'COVERED' END AS verdict, status, count(*) AS n FROM runs LEFT JOIN copies ON copied_seq = request_seq GROUP BY 1, 2""",
     "phase_totals": _TASKS + "SELECT stage, count(*) AS tasks, sum(CASE WHEN phase = 'MAP' THEN millis ELSE 0 END) AS map_ms, sum(CASE WHEN phase = 'REDUCE' THEN millis ELSE 0 END) AS reduce_ms, CASE WHEN count(*) > 256 THEN 'TOO_MANY' ELSE 'DETAILED' END AS detail FROM tasks GROUP BY stage",
-    "stage_completeness": _TASKS + """, wanted AS (SELECT DISTINCT stage AS wanted_stage FROM tasks UNION SELECT 12), done AS (SELECT stage, min(CASE WHEN state = 'FAILED' THEN 0 ELSE 1 END) AS sound FROM tasks WHERE side = 0 GROUP BY stage)
+    "stage_completeness": _TASKS + """, wanted AS (SELECT DISTINCT stage AS wanted_stage FROM tasks UNION SELECT 12), done AS (SELECT stage, min(CASE WHEN state = 'FAILED' AND stage < 9 THEN 0 ELSE 1 END) AS sound FROM tasks GROUP BY stage)
 SELECT wanted_stage, CASE WHEN stage IS NULL THEN 'MISSING' WHEN sound = 1 THEN 'SUCCEEDED' ELSE 'FAILED' END AS verdict FROM wanted LEFT JOIN done ON stage = wanted_stage""",
 }
 

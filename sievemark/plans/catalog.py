@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
 from sievemark.operators import artifacts, cleaning, exploring, lineage, profiling, quality
-from sievemark.plans import oracles, relational, stored, validated
+from sievemark.plans import judged, oracles, relational, stored, validated
 from sievemark.sources import synthetic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES
+ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES | judged.ORACLES
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -357,13 +357,4 @@ for _t in synthetic.TABLES:
     QUERIES[f"typed_{_t}"] = _typed(_t)
 
 
-@query
-def number_whitelist(spark, d):
-    """Numbers with decimals in prose that no account balance comes near, by how often they are said."""
-    facts = spark.read.parquet(f"{d}/supplier.parquet").select(F.round("s_acctbal", 2).cast("decimal(18,2)").alias("fact")).distinct()
-    said = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+\\.[0-9]{2}"), F.lit(0))).alias("x"))
-    numbers = said.select(F.col("x").try_cast("decimal(18,2)").alias("number")).where("number is not null").groupBy("number").agg(F.count("*").alias("n"))
-    return numbers.join(facts, F.col("number") == F.col("fact"), "left_anti").select(F.col("number").cast("string").alias("number"), "n")
-
-
-QUERIES |= stored.QUERIES | validated.QUERIES | {name: relational.runner(name) for name in relational.SQL}
+QUERIES |= stored.QUERIES | validated.QUERIES | judged.QUERIES | {name: relational.runner(name) for name in relational.SQL}

@@ -333,9 +333,6 @@ _YEAR = f"try_cast(nullif(regexp_extract({_P[1]}, '[(]([0-9]{{4}})[)]\\s*$', 1),
 SQL["typed_users"] = _typed("cu", f"{_P[0]} AS user_id, {_P[1]} AS gender, CAST({_P[2]} AS INT) AS age, CAST({_P[3]} AS INT) AS occupation, {_P[4]} AS zip_code")
 SQL["typed_movies"] = _typed("cm", f"{_P[0]} AS movie_id, {_P[1]} AS title, CASE WHEN {_YEAR} <= {LAST_YEAR} THEN {_YEAR} END AS year, {_P[2]} AS genres")
 SQL["typed_ratings"] = _typed("cr", f"{_P[0]} AS user_id, {_P[1]} AS movie_id, CAST({_P[2]} AS TINYINT) AS rating, CAST({_P[3]} AS BIGINT) AS timestamp_seconds")
-SQL["number_whitelist"] = """WITH s AS (SELECT try_cast(unnest(regexp_extract_all(text, '[0-9]+\\.[0-9]{2}')) AS DECIMAL(18, 2)) AS number FROM documents)
-SELECT CAST(number AS VARCHAR) AS number, count(*) AS n FROM s WHERE number IS NOT NULL AND number NOT IN (SELECT CAST(round(s_acctbal, 2) AS DECIMAL(18, 2)) FROM supplier WHERE s_acctbal IS NOT NULL) GROUP BY 1"""
-
 SQL["official_counts"] = _RAW + """SELECT source_table, official::BIGINT AS official, n, n - official AS surplus FROM (SELECT 'users' AS source_table, 6040 AS official, (SELECT count(*) FROM customer) AS n UNION ALL
 SELECT 'movies', 3883, (SELECT count(*) FROM part) UNION ALL SELECT 'ratings', 1000209, (SELECT count(*) FROM events))"""
 SQL["explore_samples"] = _RAW + f""", u AS (SELECT *, {_complete('id g a o z')} AS ok FROM ({_fields('raw_users', 'id g a o z')})), m AS (SELECT *, {_complete('id t g')} AS ok FROM ({_fields('raw_movies', 'id t g')})), r AS (SELECT *, {_complete('u m r t')} AS ok, {_number('r')} AS rv FROM ({_fields('raw_ratings', 'u m r t')})),

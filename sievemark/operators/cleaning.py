@@ -7,7 +7,7 @@ row leaves its partition until de-duplication.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
@@ -26,16 +26,20 @@ def _events(keep_rule: str, *events: Column) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(_event(F.lit(True), keep_rule, "keep", F.col("payload"), F.col("payload"))))
 
 
-def _distinct(df: DataFrame, key: str, order: list[Column], rule: str) -> DataFrame:
-    """Keeps the first of every key among the rows that are still KEEP; the others become DEDUP and point to it."""
-    # rows that are no longer KEEP have a group of their own, so that one window serves all and none of them is skewed
+def _distinct(df: DataFrame, key: str, rank: Column, rule: str) -> DataFrame:
+    """Keeps the row of least rank, file and offset of every key among those that are still KEEP; the others become DEDUP and point to it.
+
+    The best is found by an aggregate, whose partial sums leave one row of a key and task, and joined back; so a key that a
+    third of all rows have is no group that one task has to sort. The rows are persisted, so that rules run once for both."""
+    # rows that are no longer KEEP have a key of their own, so that no key collects them in the join
     own = F.when(F.col("disposition") == "KEEP", F.concat(F.lit("K"), F.col(key))).otherwise(F.col("source_id"))
-    group = Window.partitionBy("_key").orderBy(*order, "source_file", "source_offset")
-    ranked = df.withColumn("_key", own).withColumn("_best", F.first("source_id").over(group)).withColumn("_place", F.row_number().over(group))
-    lost = F.col("_place") > 1
+    rows = df.withColumn("_key", own).withColumn("_rank", rank).persist()
+    best = rows.where("disposition = 'KEEP'").groupBy("_key").agg(F.min(F.struct("_rank", "source_file", "source_offset", "source_id")).alias("_b"))
+    joined = rows.join(best.select("_key", F.col("_b.source_id").alias("_best")), "_key", "left")
+    lost = F.coalesce(F.col("_best") != F.col("source_id"), F.lit(False))
     event = F.array(F.struct(F.lit(rule).alias("rule"), F.lit("dedup").alias("action"), F.col("payload").alias("before"), F.col("payload").alias("after"), F.col("_best").alias("target")))
-    done = ranked.withColumn("events", F.when(lost, F.concat("events", event)).otherwise(F.col("events"))).withColumn("disposition", F.when(lost, "DEDUP").otherwise(F.col("disposition")))
-    return done.drop("_key", "_best", "_place")
+    done = joined.withColumn("events", F.when(lost, F.concat("events", event)).otherwise(F.col("events"))).withColumn("disposition", F.when(lost, "DEDUP").otherwise(F.col("disposition")))
+    return done.drop("_key", "_best", "_rank")
 
 
 def clean_users(lines: DataFrame) -> DataFrame:
@@ -68,7 +72,7 @@ def clean_users(lines: DataFrame) -> DataFrame:
     )
     score = sum((x.cast("int") for x in (X.full(c("g2"), "[FM]"), c("a2").isin(X.AGES), X.occupation(c("o2")), X.full(c("z2"), "[0-9]{5}"))), F.lit(1))
     d = d.withColumn("events", events).withColumn("score", score)
-    return _distinct(d.select(*KEPT, "uid", "score"), "uid", [F.desc("score")], "U6").select(*KEPT)
+    return _distinct(d.select(*KEPT, "uid", "score"), "uid", -F.col("score"), "U6").select(*KEPT)
 
 
 def first_stage_movies(lines: DataFrame) -> DataFrame:
@@ -93,7 +97,7 @@ def first_stage_movies(lines: DataFrame) -> DataFrame:
     score = F.lit(1) + c("year").isNotNull().cast("int") + (c("g2") != "NULL").cast("int")
     title = F.when(c("year").isNotNull(), F.concat_ws("|", X.plain_title(c("t2")), c("year"))).otherwise(F.concat(F.lit("\x00"), c("source_id")))
     d = d.withColumn("events", events).withColumn("score", score).withColumn("title_key", title)
-    return _distinct(d.select(*KEPT, "mid", "score", "title_key"), "mid", [F.desc("score")], "M5a")
+    return _distinct(d.select(*KEPT, "mid", "score", "title_key"), "mid", -F.col("score"), "M5a")
 
 
 def second_stage_movies(first: DataFrame) -> DataFrame:
@@ -102,7 +106,7 @@ def second_stage_movies(first: DataFrame) -> DataFrame:
     event = F.array(F.struct(F.lit("M5b-invalid").alias("rule"), F.lit("isolate").alias("action"), F.col("payload").alias("before"), F.col("payload").alias("after"), F.lit(None).cast("string").alias("target")))
     sound = first.withColumn("_broken", broken).withColumn("events", F.when(F.col("_broken"), F.concat("events", event)).otherwise(F.col("events")))
     sound = sound.withColumn("disposition", F.when(F.col("_broken"), "ISOLATE").otherwise(F.col("disposition"))).drop("_broken")
-    return _distinct(sound, "title_key", [F.desc("score")], "M5b").select(*KEPT)
+    return _distinct(sound, "title_key", -F.col("score"), "M5b").select(*KEPT)
 
 
 def clean_movies(lines: DataFrame) -> DataFrame:
@@ -150,10 +154,15 @@ def clean_ratings(lines: DataFrame, users: DataFrame, movies: DataFrame) -> Data
         _event(c("why").isNotNull(), c("why"), "isolate", c("payload"), c("payload")),
     )
     d = d.withColumn("events", events).withColumn("pair", F.concat_ws("|", "u2", "m2"))
-    return _distinct(d.select(*KEPT, "pair", "ts"), "pair", [F.desc("ts")], "R7").select(*KEPT)
+    return _distinct(d.select(*KEPT, "pair", "ts"), "pair", -F.col("ts"), "R7").select(*KEPT)
 
 
 def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All three tables, persisted: each is used several times by what follows, and a cut keeps plans small."""
+    """All three tables, persisted: each is used several times by what follows, and a cut keeps plans small. release gives them back."""
     users, movies = clean_users(raw["users"]).persist(), clean_movies(raw["movies"]).persist()
     return {"users": users, "movies": movies, "ratings": clean_ratings(raw["ratings"], reference_ids(users), reference_ids(movies)).persist()}
+
+
+def release(cleaned: dict[str, DataFrame]) -> None:
+    for d in cleaned.values():
+        d.unpersist()

@@ -54,18 +54,25 @@ def gates(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame
     ids = lambda t: kept.where(F.col("source_table") == t).select(F.split_part("payload", F.lit(X.SEP), F.lit(1)).alias("id")).distinct()
     terminal = F.element_at("events", -1)["action"]
     odd = (F.col("disposition") == "ISOLATE") != (terminal == "isolate")
+    genres = F.split(F.split_part("payload", F.lit(X.SEP), F.lit(3)), r"\|", -1)
+    # what a row shows by itself is counted in one pass
+    local = {
+        "origin_chain": ~chain_holds(),
+        "terminal_action": odd | ((F.col("disposition") == "DEDUP") != (terminal == "dedup")),
+        "genres_distinct": (F.col("disposition") == "KEEP") & (F.col("source_table") == "movies") & (F.size(F.array_distinct(genres)) < F.size(genres)),
+    }
+    one = rows.agg(*(F.count_if(c).alias(g) for g, c in local.items()))
+    parts = [one.select(F.explode(F.array(*(F.struct(F.lit(g).alias("gate"), F.col(g).alias("violations")) for g in local))).alias("x")).select("x.*")]
     checks = {
         "population": n_raw.join(rows.select("source_id"), "source_id", "left_anti"),
         "unique_source": rows.groupBy("source_id").count().where("count > 1"),
-        "origin_chain": rows.where(~chain_holds()),
-        "terminal_action": rows.where(odd | ((F.col("disposition") == "DEDUP") != (terminal == "dedup"))),
         "dedup_target": found.where("end is null or end <> 'KEEP'"),
         "one_edge": edges(rows).groupBy("source_id").count().where("count > 1"),
         "user_reference": rated.join(ids("users"), F.col("u") == F.col("id"), "left_anti"),
         "movie_reference": rated.join(ids("movies"), F.col("m") == F.col("id"), "left_anti"),
-        "genres_distinct": kept.where("source_table = 'movies'").select(F.split(F.split_part("payload", F.lit(X.SEP), F.lit(3)), r"\|", -1).alias("g")).where(F.size(F.array_distinct("g")) < F.size("g")),
     }
-    return reduce(DataFrame.unionByName, (d.agg(F.count("*").alias("violations")).select(F.lit(g).alias("gate"), "violations") for g, d in checks.items()))
+    parts += [d.agg(F.count("*").alias("violations")).select(F.lit(g).alias("gate"), "violations") for g, d in checks.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def summary_gates(counted: DataFrame) -> DataFrame:

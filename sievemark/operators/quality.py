@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
@@ -78,8 +78,11 @@ def detail(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFram
 
 
 def unique_primary(seen: DataFrame) -> DataFrame:
-    first = Window.partitionBy("phase", "source_table", "business_key").orderBy("source_file", "source_offset")
-    return seen.withColumn("unique_primary", (F.row_number().over(first) == 1).cast("int"))
+    """Adds whether a record is the first of its business key in order of file and offset. The first is found by an aggregate and joined back, so that no key is sorted in one task."""
+    key = ["phase", "source_table", "business_key"]
+    first = seen.groupBy(*key).agg(F.min(F.struct("source_file", "source_offset")).alias("_first"))
+    own = F.struct("source_file", "source_offset")
+    return seen.join(first, key).withColumn("unique_primary", (own == F.col("_first")).cast("int")).drop("_first").select(*seen.columns, "unique_primary")
 
 
 def groups(seen: DataFrame) -> DataFrame:

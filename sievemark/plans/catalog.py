@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import exprs as X
 from sievemark.operators import artifacts, cleaning, exploring, lineage, profiling, quality
-from sievemark.plans import judged, oracles, relational, stored, validated
+from sievemark.plans import filed, judged, oracles, relational, stored, validated
 from sievemark.sources import synthetic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES | judged.ORACLES
+ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES | judged.ORACLES | filed.ORACLES
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -251,8 +251,13 @@ def validation_gates(spark, d):
 
 @query
 def orphan_rows(spark, d):
-    rows = lineage.together(_cleaned(spark, d))
-    return lineage.events(rows).select("source_table", "source_id").unionByName(_seen(spark, d).select("source_table", "source_id")).join(rows.select("source_id"), "source_id", "left_anti").groupBy("source_table").agg(F.count("*").alias("n"))
+    """Rows of evidence and quality whose source is not there, when every 37th source is left out."""
+    cleaned = _cleaned(spark, d)
+    rows = lineage.together(cleaned)
+    known = rows.where("source_offset % 37 <> 0").select("source_id")
+    seen = quality.detail(synthetic.raw(spark, d), cleaned)
+    kinds = (lineage.events(rows).select(F.lit("evidence").alias("kind"), "source_table", "source_id"), seen.select(F.lit("quality").alias("kind"), "source_table", "source_id"))
+    return kinds[0].unionByName(kinds[1]).join(known, "source_id", "left_anti").groupBy("kind", "source_table").agg(F.count("*").alias("n"))
 
 
 @query
@@ -346,7 +351,8 @@ def event_gates(spark, d):
 
 def _typed(table: str):
     def run(spark, d):
-        rows = artifacts.with_lineage(artifacts.typed(_cleaned(spark, d)[table], table), lineage.together(_cleaned(spark, d)))
+        cleaned = _cleaned(spark, d)
+        rows = artifacts.with_lineage(artifacts.typed(cleaned[table], table), lineage.together(cleaned))
         rows = rows.withColumn("related", F.array_join("related_source_ids", ",")).drop("related_source_ids", "source_file")
         return rows.withColumn("genres", F.array_join("genres", "|")) if table == "movies" else rows
 
@@ -357,4 +363,4 @@ for _t in synthetic.TABLES:
     QUERIES[f"typed_{_t}"] = _typed(_t)
 
 
-QUERIES |= stored.QUERIES | validated.QUERIES | judged.QUERIES | {name: relational.runner(name) for name in relational.SQL}
+QUERIES |= stored.QUERIES | validated.QUERIES | judged.QUERIES | filed.QUERIES | {name: relational.runner(name) for name in relational.SQL}

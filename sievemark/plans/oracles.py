@@ -232,7 +232,7 @@ UNION ALL SELECT 'one_edge', count(*) FROM (SELECT 1 FROM ev WHERE action = 'ded
 UNION ALL SELECT 'user_reference', count(*) FROM k WHERE source_table = 'ratings' AND split_part(payload, '::', 1) NOT IN (SELECT id FROM user_ids)
 UNION ALL SELECT 'movie_reference', count(*) FROM k WHERE source_table = 'ratings' AND split_part(payload, '::', 2) NOT IN (SELECT id FROM movie_ids)
 UNION ALL SELECT 'genres_distinct', count(*) FROM (SELECT string_split(split_part(payload, '::', 3), '|') AS g FROM k WHERE source_table = 'movies') WHERE len(list_distinct(g)) < len(g)""",
-    "orphan_rows": _SEEN + "SELECT source_table, count(*) AS n FROM (SELECT source_table, source_id FROM ev UNION ALL SELECT source_table, source_id FROM seen) WHERE source_id NOT IN (SELECT source_id FROM cleaned) GROUP BY 1",
+    "orphan_rows": _SEEN + "SELECT 'evidence' AS kind, source_table, count(*) AS n FROM ev WHERE source_offset % 37 = 0 GROUP BY 2 UNION ALL SELECT 'quality', source_table, count(*) FROM seen WHERE source_offset % 37 = 0 GROUP BY 2",
     "group_reconciliation": _SEEN + "SELECT phase, source_table, (count(*) - count(DISTINCT business_key))::BIGINT AS declared, count(*) AS records, sum(1 - unique_primary)::BIGINT AS recomputed, count(*) - count(DISTINCT business_key) = sum(1 - unique_primary) AS equal FROM uniq GROUP BY 1, 2",
     "samples_per_stream": _CLEAN + "SELECT source_table, disposition, place::INT AS place, payload FROM (SELECT *, row_number() OVER (PARTITION BY source_table, disposition ORDER BY source_file, source_offset) AS place FROM cleaned) WHERE place <= 3",
     "source_fingerprint": _RAW + "SELECT source_table, count(*) AS n, min(h) AS first, max(h) AS last, count(DISTINCT h) AS distinct_lines FROM (SELECT source_table, sha256(raw_record) AS h FROM raw_users UNION ALL SELECT source_table, sha256(raw_record) FROM raw_movies UNION ALL SELECT source_table, sha256(raw_record) FROM raw_ratings) GROUP BY 1",

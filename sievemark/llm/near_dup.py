@@ -120,30 +120,43 @@ def sign(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, f binary, bands array<long>")
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """f, n, s (the set) of the wanted classes (f, id), from the texts of the documents that represent them."""
-    ids = wanted.select(F.col("id").alias("doc_id")).distinct()
+def candidate_sets(docs: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
+    """f, n, s (the set) of the wanted classes (f, id), from the texts of the documents that represent them. repeats: whether doc_ids occur in several rows."""
+    ids = wanted.select(F.col("id").alias("_id"), F.col("f").alias("_f")).distinct()
     few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_id")).select("_f", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                sets = [s for s in (shingle_set(t.as_py()) for t in batch.column(1).slice(at, 500)) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["f", "n", "s"])
+                part = batch.slice(at, 500)
+                made = [(shingle_set(t.as_py()), f) for f, t in zip(part.column(0).to_pylist(), part.column(1), strict=True)]
+                sets = [(s, f) for s, f in made if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == f]  # other texts under the same doc_id are other classes
+                yield pa.RecordBatch.from_arrays([pa.array([f for _, f in sets], pa.binary()), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64()))], ["f", "n", "s"])
 
     made = texts.mapInArrow(run, "f binary, n long, s array<long>")
-    return made.join(wanted.select("f"), "f", "left_semi").dropDuplicates(["f"])
+    return made.dropDuplicates(["f"]) if repeats else made
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. pairs: a written table; b may be the same in many of them."""
+def _met(pairs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
+    """pairs (a, b), with the given column and n of both sets. b may be the same in many pairs: its set is sent once for each PAIRS of them."""
     salts = max(1, -(-pairs.count() // PAIRS))
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a", F.lit(3)), F.lit(salts)))
-    one = sets.select(F.col("f").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"))
-    two = pairs.select("b", "salt").distinct().join(sets.select(F.col("f").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
-    both = pairs.join(one, "a").join(two, ["b", "salt"]).withColumn("shared", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+    one = sets.select(F.col("f").alias("a"), F.col(value).alias("sa"), F.col("n").alias("na"))
+    two = pairs.select("b", "salt").distinct().join(sets.select(F.col("f").alias("b"), F.col(value).alias("sb"), F.col("n").alias("nb")), "b")
+    return pairs.join(one, "a").join(two, ["b", "salt"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough. pairs: a written table.
+
+    Most candidates are far apart. Sixteen bits of each shingle are compared first: sets cannot share more shingles than such
+    ends, and as many more as either set loses by equal ends. Only pairs that pass this bound have their whole sets compared."""
+    enough = lambda shared: 100 * shared >= percent * (F.col("na") + F.col("nb") - shared)
+    ends = sets.select("f", "n", F.transform("s", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("short")).alias("e"))
+    lost = F.least(F.col("na") - F.size(F.array_distinct("sa")), F.col("nb") - F.size(F.array_distinct("sb")))
+    near = _met(pairs, ends, "e").where(enough(F.size(F.array_intersect("sa", "sb")) + lost)).select("a", "b")
+    return _met(written(near, "near"), sets, "s").where(enough(F.size(F.array_intersect("sa", "sb")))).select("a", "b")
 
 
 def buckets_of(classes: DataFrame) -> DataFrame:
@@ -185,7 +198,7 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return written(named.join(written(open_, "open"), "bucket", "left_semi"), "unsettled")
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame | None]:
+def link_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, repeats: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """All classes' ids, and f, label of those that have links (None without candidates). classes: f, id, n, bands."""
     ids = classes.select("f", "id")
     shared = buckets_of(classes)
@@ -193,14 +206,14 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) ->
     wanted = written(members.select("f", "id").distinct(), "wanted")
     if wanted.isEmpty():
         return ids, None
-    sets = written(candidate_sets(docs, wanted), "sets")
+    sets = written(candidate_sets(docs, wanted, repeats), "sets")
     links, labels = _settled(members, sets, ids, None, percent)
     rest = _unsettled(shared.select("bucket", "f", "id", "n", "members"), labels)
-    links, labels, rest = _small(rest, sets, ids, links, labels, percent, docs)
+    links, labels, rest = _small(rest, sets, ids, links, labels, percent, docs, repeats)
     if rest is not None:
         missing = written(rest.select("f", "id").distinct().join(sets.select("f"), "f", "left_anti"), "missing")  # those unlike every head
         if not missing.isEmpty():
-            sets = written(sets.unionByName(candidate_sets(docs, missing)), "sets")
+            sets = written(sets.unionByName(candidate_sets(docs, missing, repeats)), "sets")
         new = written(verified(written(prefix_pairs(rest, sets, percent), "probed"), sets, percent), "exact")
         if not new.isEmpty():
             links, labels = _joined(new, ids, links)
@@ -215,13 +228,19 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     the first 15 % of the larger set and the first 8 % of the smaller. Members of a group of copies that differ more than that
     have only shingles of their own there, and so meet nobody.
     """
-    active = members.select("f", "id", "n", "label").distinct()
+    reach = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1, F.lit(1))
+    active = members.select("f", "n", "label").distinct().withColumn("reach", reach.cast("int"))
     tokens = sets.join(active.select("f"), "f", "left_semi").select("f", F.explode("s").alias("token"))
-    counted = written(tokens.groupBy("token").agg(F.count("*").alias("often")), "tokens")
-    ordered = tokens.join(counted, "token").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("o"))
-    reach = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = F.slice("o", 1, F.greatest(reach, F.lit(1)).cast("int"))
-    probes = written(active.join(ordered, "f").select("f", "id", "n", "label", F.posexplode(first).alias("p", "x")).select("f", "n", "label", "p", F.col("x.token").alias("token")), "prefixes")
+    counted = written(tokens.groupBy("token").agg(F.count("*").alias("often"), F.min("f").alias("only")), "tokens")
+    # tokens that one set alone has come first in its order and meet nobody: a set with a prefix of such tokens is settled
+    alone = counted.where("often = 1").groupBy(F.col("only").alias("f")).agg(F.count("*").cast("int").alias("alone"))
+    live = active.join(alone, "f", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where("alone < reach")
+    live = written(live, "live")
+    shared = sets.join(live.select("f"), "f", "left_semi").select("f", F.explode("s").alias("token"))
+    ordered = shared.join(counted.where("often > 1").select("token", "often"), "token").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("o"))
+    first = F.slice("o", F.lit(1), F.col("reach") - F.col("alone"))
+    probes = live.join(ordered, "f").select("f", "n", "label", "alone", F.posexplode(first).alias("p", "x")).select("f", "n", "label", (F.col("alone") + F.col("p")).alias("p"), F.col("x.token").alias("token"))
+    probes = written(probes, "prefixes")
     needed = lambda m, n: F.ceil((m + n) * percent / (100 + percent))
     small = probes.where(F.col("p") <= F.col("n") - needed(F.col("n"), F.col("n"))).select("token", F.col("f").alias("a"), F.col("n").alias("m"), F.col("label").alias("l"), F.col("p").alias("q"))
     both = small.join(probes.withColumnRenamed("f", "b"), "token").where((F.struct("m", "a") < F.struct("n", "b")) & (F.col("l") != F.col("label")) & _alike("m", "n", percent))
@@ -239,7 +258,7 @@ def _joined(new: DataFrame, ids: DataFrame, links: DataFrame | None) -> tuple[Da
     return links, components(links, ids)
 
 
-def _small(rest: DataFrame, sets: DataFrame, ids: DataFrame, links: DataFrame, labels: DataFrame, percent: int, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def _small(rest: DataFrame, sets: DataFrame, ids: DataFrame, links: DataFrame, labels: DataFrame, percent: int, docs: DataFrame, repeats: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Compares the members of small unsettled buckets across components; returns what remains in large ones."""
     few = rest.where(F.col("members") <= SMALL_BUCKET)
     other = few.select("bucket", F.col("f").alias("b"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
@@ -249,7 +268,7 @@ def _small(rest: DataFrame, sets: DataFrame, ids: DataFrame, links: DataFrame, l
         need = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct().join(ids, "f")
         missing = written(need.join(sets.select("f"), "f", "left_anti"), "missing")
         if not missing.isEmpty():
-            sets = sets.unionByName(candidate_sets(docs, missing))
+            sets = sets.unionByName(candidate_sets(docs, missing, repeats))
         new = written(verified(pairs, sets, percent), "across")
         if not new.isEmpty():
             links, labels = _joined(new, ids, links)
@@ -268,9 +287,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = signed.where(F.col("doc_id").isNotNull() & F.col("f").isNotNull())
     classes = written(linked.groupBy("f").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     # classes that a doc_id has in common
-    mixed = linked.groupBy("doc_id").agg(F.min("f").alias("least"), F.max("f").alias("most")).where("least != most").select("doc_id", "least")
-    mixed = written(mixed, "mixed")
-    ids, labels = link_classes(docs, classes, percent)
+    several = linked.groupBy("doc_id").agg(F.count("*").alias("k"), F.min("f").alias("least"), F.max("f").alias("most")).where("k > 1")
+    several = written(several, "several")
+    mixed = several.where("least != most").select("doc_id", "least")
+    ids, labels = link_classes(docs, classes, percent, not several.isEmpty())
     named = ids.withColumn("label", F.col("id")) if labels is None else ids.join(labels, "f", "left").withColumn("label", F.coalesce("label", "id"))
     named = written(named.select("f", "label"), "named")
     per_doc = None

@@ -146,3 +146,10 @@ def preflight(spark, out_dir: str, versions: dict = VERSIONS) -> dict:
     if declared["quality_summary"]["rows"] != 30:
         raise ValueError("quality dimensions are missing")
     return manifest
+
+
+def published_report(spark, out_dir: str) -> dict:
+    """The report of a run whose manifest holds; ValueError otherwise."""
+    preflight(spark, out_dir)
+    fs, root = file_system(out_dir)
+    return json.loads(fs.open_input_stream(f"{root}/report.json", compression=None).read())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION = "output_version"
@@ -61,9 +61,9 @@ def odd_table(spark: SparkSession, table: str, like: DataFrame, location: str) -
     return out
 
 
-def analysis(spark: SparkSession, tables: dict[str, str], version: str, expected: dict[str, int]) -> DataFrame:
-    """source_table, actual_rows, bound_rows, expected_rows, reconciled: all rows of a version, those that name their own table, and those that were published."""
-    each = (spark.table(t).where(F.col(PARTITION) == version).agg(F.lit(name).alias("source_table"), F.count("*").alias("actual_rows"), F.count_if(F.col("source_table") == name).alias("bound_rows"), F.lit(expected[name]).cast("long").alias("expected_rows")) for name, t in tables.items())
+def analysis(spark: SparkSession, tables: dict[str, str], version: str, expected: dict[str, int], bound: dict[str, Column]) -> DataFrame:
+    """source_table, actual_rows, bound_rows, expected_rows, reconciled: all rows of a version, those that fulfil what binds them to their table, and those that were published. Rows that a condition would hide show in the difference."""
+    each = (spark.table(t).where(F.col(PARTITION) == version).agg(F.lit(name).alias("source_table"), F.count("*").alias("actual_rows"), F.count_if(bound[name]).alias("bound_rows"), F.lit(expected[name]).cast("long").alias("expected_rows")) for name, t in tables.items())
     return reduce(DataFrame.unionByName, each).withColumn("reconciled", (F.col("actual_rows") == F.col("expected_rows")) & (F.col("bound_rows") == F.col("actual_rows")))
 
 

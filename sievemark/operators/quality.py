@@ -49,7 +49,7 @@ def observe_movies(df: DataFrame, line: str) -> DataFrame:
     d = df.withColumn("f", X.fields(F.col(line))).withColumn("title", X.jtrim(X.at(F.col("f"), 1)))
     d = d.withColumn("year", X.year_of(F.col("title"))).withColumn("plain", X.plain_title(F.col("title")))
     whole = (F.size("f") == 3) & (F.col("title") != "") & X.genres_legal(X.at(F.col("f"), 2))
-    key = F.when((F.col("plain") != "") & F.col("year").isNotNull(), F.concat(F.lit("M:"), "plain", F.lit("|"), "year"))
+    key = F.when((F.col("plain") != "") & F.col("year").isNotNull(), F.concat(F.lit("M:"), F.to_json(F.array("plain", "year"))))
     return _seen(d, whole & (F.col("year").cast("int") <= X.LAST_YEAR), _present(F.col("f"), 1, 3), whole & X.digits(X.at(F.col("f"), 0)) & F.col("year").isNotNull(), None, None, key)
 
 
@@ -62,7 +62,7 @@ def observe_ratings(df: DataFrame, line: str, users: DataFrame, movies: DataFram
     ts = F.when(four, X.number(F.col("t")))
     rated, inside = X.full(F.col("r"), "[1-5]"), ts.between(X.TS_MIN, X.TS_MAX)
     known = F.col("_u").isNotNull() & F.col("_m").isNotNull()
-    key = F.when((F.size("f") >= 2) & ids, F.concat(F.lit("R:"), "u", F.lit("|"), "m"))
+    key = F.when((F.size("f") >= 2) & ids, F.concat(F.lit("R:"), F.to_json(F.array("u", "m"))))
     return _seen(d, four & ids & rated & inside & known, _present(F.col("f"), 0, 4), four & ids & rated & X.full(F.col("t"), "[0-9]{9,10}"), inside, F.when(ts.isNotNull(), X.split_label(ts)), key)
 
 
@@ -97,6 +97,21 @@ def counters(seen: DataFrame) -> DataFrame:
     return per.groupBy("phase", "source_table").agg(*(F.sum(c).alias(c) for c in COUNTERS[:-1]), F.sum(F.col("n") - 1).alias("uniq_excess"))
 
 
+def counter_pairs(counted: DataFrame) -> DataFrame:
+    """phase, source_table, key, value: the counters one by one, under their capital names."""
+    items = F.array(*(F.struct(F.lit(c.upper()).alias("key"), F.col(c).alias("value")) for c in COUNTERS))
+    return counted.select("phase", "source_table", F.explode(items).alias("x")).select("phase", "source_table", "x.*")
+
+
+def scan_counters(pairs: DataFrame) -> DataFrame:
+    """Counters from their pairs; an unknown key, a key that occurs twice or a negative value is an error, a missing one is 0."""
+    names = [c.upper() for c in COUNTERS]
+    odd = pairs.groupBy("phase", "source_table", "key").agg(F.count("*").alias("k"), F.min("value").alias("least")).where(~F.col("key").isin(names) | (F.col("k") > 1) | (F.col("least") < 0) | F.col("least").isNull()).limit(1).collect()
+    if odd:
+        raise ValueError(f"odd counter {odd[0].asDict()}")
+    return pairs.groupBy("phase", "source_table").agg(*(F.coalesce(F.max(F.when(F.col("key") == n, F.col("value"))), F.lit(0)).alias(n.lower()) for n in names))
+
+
 def summary(counted: DataFrame) -> DataFrame:
     """phase, source_table, metric, numerator, denominator, score: thirty rows for three tables in two phases."""
     required = F.create_map(*(F.lit(x) for kv in REQUIRED.items() for x in kv))[F.col("source_table")]

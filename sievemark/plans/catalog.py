@@ -11,6 +11,7 @@ from sievemark.functions import exprs as X
 from sievemark.operators import artifacts, cleaning, exploring, lineage, profiling, quality
 from sievemark.plans import filed, judged, oracles, relational, stored, validated
 from sievemark.sources import synthetic
+from sievemark.sources.files import stored as stored_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.SQL | relational.SQL | stored.ORACLES | validated.ORACLES | judged.ORACLES | filed.ORACLES
@@ -111,6 +112,12 @@ def score_counters(spark, d):
     return quality.counters(_seen(spark, d))
 
 
+@query
+def counter_scan(spark, d):
+    """The counters written as pairs and scanned again."""
+    return quality.scan_counters(stored_table(quality.counter_pairs(quality.counters(_seen(spark, d))), "pairs"))
+
+
 def _scored(table: str, phase: str):
     def run(spark, d):
         raw = synthetic.raw(spark, d)

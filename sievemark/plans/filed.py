@@ -98,24 +98,30 @@ def payload_export(spark, d):
 
 
 def _versions(spark, d) -> tuple[dict, dict, str]:
-    """Two versions of the kept tables: all ratings, and those up to the second bound."""
-    cleaned = cleaning.clean_all(synthetic.raw(spark, d))
-    tables = {t: stored(artifacts.typed(c, t), t) for t, c in cleaned.items()}
+    """Two versions of the eight tables of a history: all rows, and without the ratings after the second bound."""
+    raw = synthetic.raw(spark, d)
+    outputs = artifacts.outputs(raw, cleaning.clean_all(raw))
+    tables = {t: outputs[f"cleaned_{t}"].drop("related_source_ids") for t in synthetic.TABLES} | {f"evidence_{t}": outputs[f"evidence_{t}"] for t in synthetic.TABLES}
+    for phase in ("before", "after"):
+        tables[f"quality_{phase}"] = outputs[f"quality_{phase}_users"].unionByName(outputs[f"quality_{phase}_movies"]).unionByName(outputs[f"quality_{phase}_ratings"])
+    tables = {t: stored(v, t) for t, v in tables.items()}
     folder = shared_folder(spark, "versions")
     early = tables | {"ratings": tables["ratings"].where(F.col("timestamp_seconds") <= X.T2)}
     rows = {"v1": history.project(tables, folder, "v1"), "v2": history.project(early, folder, "v2")}
     return tables, rows, folder
 
 
-_VERSIONS = oracles._CLEAN + f", kept AS (SELECT *, source_table = 'ratings' AND coalesce(try_cast(split_part(payload, '::', 4) AS BIGINT) > {X.T2}, false) AS late FROM cleaned WHERE disposition = 'KEEP')\n"
+_VERSIONS = oracles._SEEN.rstrip() + f", kept AS (SELECT *, source_table = 'ratings' AND coalesce(try_cast(split_part(payload, '::', 4) AS BIGINT) > {X.T2}, false) AS late FROM cleaned WHERE disposition = 'KEEP')\n"
 
 
-@query(_VERSIONS + """SELECT v AS version, source_table, count(*) AS actual_rows, count(*) AS bound_rows, count(*) AS expected_rows, true AS reconciled, '' AS odd FROM kept, (SELECT unnest(['v1', 'v2']) AS v) WHERE v = 'v1' OR NOT coalesce(late, false) GROUP BY 1, 2""")
+@query(_VERSIONS + """, t AS (SELECT source_table, late FROM kept UNION ALL SELECT 'evidence_' || source_table, false FROM ev UNION ALL SELECT 'quality_' || phase, false FROM seen)
+SELECT v AS version, source_table, count(*) AS actual_rows, count(*) AS bound_rows, count(*) AS expected_rows, true AS reconciled, '' AS odd FROM t, (SELECT unnest(['v1', 'v2']) AS v) WHERE v = 'v1' OR NOT late GROUP BY 1, 2""")
 def history_projection(spark, d):
     tables, rows, folder = _versions(spark, d)
     named = history.register(spark, folder, tables, f"history_{uuid.uuid4().hex}")
     odd = ",".join(f"{t}:{w}" for t, n in named.items() for w in history.odd_table(spark, n, tables[t], f"{folder}/{t}"))
-    parts = [history.analysis(spark, named, v, rows[v]).withColumn("version", F.lit(v)) for v in rows]
+    bound = {t: F.col("source_table") == t.removeprefix("evidence_") for t in tables} | {f"quality_{p}": (F.col("phase") == p) & F.col("source_table").isin(*synthetic.TABLES) for p in ("before", "after")}
+    parts = [history.analysis(spark, named, v, rows[v], bound).withColumn("version", F.lit(v)) for v in rows]
     return parts[0].unionByName(parts[1]).withColumn("odd", F.lit(odd))
 
 

@@ -151,7 +151,7 @@ def _movies(of: str, line: str, phase: str) -> str:
     legal = f"({_trim(_F[2])} <> '' AND (rtrim({_F[2]}, '|') = '' OR len(list_filter(string_split(rtrim({_F[2]}, '|'), '|'), lambda x: NOT {_in(_trim('x'), GENRES)})) = 0))"
     return f"""SELECT {_S}, coalesce(len(f) = 3 AND title <> '' AND {legal} AND CAST(yr AS INT) <= {LAST_YEAR}, false)::INT AS accurate, {_present(1, 3)} AS present, 2 AS required,
   (len(f) = 3 AND title <> '' AND {legal} AND {_full(_F[0], '[0-9]+')} AND yr IS NOT NULL)::INT AS consistent, NULL::INT AS up_to_date, NULL::VARCHAR AS split,
-  CASE WHEN plain <> '' AND yr IS NOT NULL THEN 'M:' || plain || '|' || yr ELSE 'ROW:' || source_id END AS business_key, '{phase}' AS phase
+  CASE WHEN plain <> '' AND yr IS NOT NULL THEN 'M:' || CAST(to_json([plain, yr]) AS VARCHAR) ELSE 'ROW:' || source_id END AS business_key, '{phase}' AS phase
 FROM (SELECT *, nullif(regexp_extract(title, '\\(([0-9]{{4}})\\)\\s*$', 1), '') AS yr, lower({_trim(r"regexp_replace(title, '\s*\([0-9]{4}\)\s*$', '')")}) AS plain
   FROM (SELECT *, {_trim(_nth('f', 1))} AS title FROM (SELECT *, string_split({line}, '::') AS f FROM {of})))"""
 
@@ -161,7 +161,7 @@ def _ratings(of: str, line: str, phase: str, users: str, movies: str) -> str:
     return f"""SELECT {_S}, coalesce(len(f) = 4 AND {ids} AND {_full('r', '[1-5]')} AND ts BETWEEN {TS_MIN} AND {TS_MAX} AND u IN (SELECT id FROM {users}) AND m IN (SELECT id FROM {movies}), false)::INT AS accurate,
   {_present(0, 4)} AS present, 4 AS required, (len(f) = 4 AND {ids} AND {_full('r', '[1-5]')} AND {_full('t', '[0-9]{9,10}')})::INT AS consistent, coalesce(ts BETWEEN {TS_MIN} AND {TS_MAX}, false)::INT AS up_to_date,
   CASE WHEN ts <= {T1} THEN 'TRAIN' WHEN ts <= {T2} THEN 'VALID' WHEN ts IS NOT NULL THEN 'TEST' END AS split,
-  CASE WHEN len(f) >= 2 AND {ids} THEN 'R:' || u || '|' || m ELSE 'ROW:' || source_id END AS business_key, '{phase}' AS phase
+  CASE WHEN len(f) >= 2 AND {ids} THEN 'R:' || CAST(to_json([u, m]) AS VARCHAR) ELSE 'ROW:' || source_id END AS business_key, '{phase}' AS phase
 FROM (SELECT *, CASE WHEN len(f) = 4 THEN {_number('t')} END AS ts FROM (SELECT *, {', '.join(f"{_trim(_nth('f', i))} AS {n}" for i, n in enumerate('umrt'))} FROM (SELECT *, string_split({line}, '::') AS f FROM {of})))"""
 
 
@@ -201,6 +201,7 @@ SQL: dict[str, str] = {
     "quality_detail": _SEEN + "SELECT source_table, source_offset, source_id, accurate, present, required, consistent, up_to_date, business_key, phase, unique_primary FROM uniq",
     "quality_groups": _SEEN + "SELECT phase, source_table, business_key, count(*) AS records, count(*) - 1 AS duplicate_excess FROM seen GROUP BY 1, 2, 3",
     "score_counters": _SEEN + f"SELECT phase, source_table, {_CNT} FROM cnt",
+    "counter_scan": _SEEN + f"SELECT phase, source_table, {_CNT} FROM cnt",
     **{f"score_{t}_{p}": _SEEN + f"SELECT {_CNT} FROM cnt WHERE source_table = '{t}' AND phase = '{ph}'" for t in ("users", "movies", "ratings") for p, ph in (("raw", "before"), ("clean", "after"))},
     "quality_summary": _SEEN + "SELECT * FROM summ",
     "five_dimensions": _SEEN + "SELECT phase, source_table, " + ", ".join(f"max(score) FILTER (metric = '{m}') AS {m}" for m in ("accurate", "complete", "unique", "up_to_date", "consistent")) + " FROM summ GROUP BY 1, 2",

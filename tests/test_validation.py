@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.operators import backup, comparing, conclusions, evidence, exploring, history, paging, storage, timing, validation
+from sievemark.operators import backup, comparing, conclusions, evidence, exploring, history, paging, quality, storage, timing, validation
 from sievemark.sources.files import digest, put_once
 
 
@@ -148,7 +148,7 @@ def test_history_tables_are_checked(spark, tmp_path):
     named = history.register(spark, folder, {"users": t}, "checked_history")
     assert history.odd_table(spark, named["users"], t, f"{folder}/users") == []
     assert history.odd_table(spark, named["users"], t.withColumn("more", F.lit(1)), f"{tmp_path}/else") == ["columns", "location"]
-    assert history.analysis(spark, named, "v1", {"users": 2}).first()["reconciled"] is False
+    assert history.analysis(spark, named, "v1", {"users": 2}, {"users": F.col("source_table") == "users"}).first()["reconciled"] is False
     spark.sql("DROP TABLE checked_history_users")
     for bad in ("a b", "../x", "x'y"):
         with pytest.raises(ValueError):
@@ -165,3 +165,14 @@ def test_file_profiles(spark, tmp_path):
 def test_evidence_pages_have_bounds(spark):
     with pytest.raises(ValueError):
         evidence.read_page(None, None, "", 101)
+
+
+def test_counters_are_scanned_with_their_keys(spark):
+    good = spark.createDataFrame([("after", "users", "N", 5), ("after", "users", "ACC", 4)], "phase string, source_table string, key string, value long")
+    row = quality.scan_counters(good).first()
+    assert (row["n"], row["acc"], row["ud"]) == (5, 4, 0)
+    for key, value in (("OTHER", 1), ("N", -1)):
+        with pytest.raises(ValueError):
+            quality.scan_counters(good.unionByName(spark.createDataFrame([("after", "movies", key, value)], good.schema)))
+    with pytest.raises(ValueError):
+        quality.scan_counters(good.unionByName(good))

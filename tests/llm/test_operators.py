@@ -714,4 +714,6 @@ def test_operators_take_awkward_rows(spark):
         assert run(df).count() == len(AWKWARD)
         assert run(df.where("false")).count() == 0
     pages = spark.createDataFrame([(None, None, None), (1, "u", "<p>x")], "page_id long, url string, html string")
-    assert html_text.main_text(pages).count() == 2
+    assert html_text.main_text(pages).count() == 2 and html_text.main_text(pages.where("false")).count() == 0
+    ties = docs(spark, [(i, "a b c", "en", "s") for i in range(9)])
+    assert sorted(r.taken for r in mixing.mix(ties).collect()) == sorted(r.taken for r in mixing.mix(ties.repartition(3)).collect())

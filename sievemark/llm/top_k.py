@@ -4,8 +4,8 @@ Vectors are dealt into shards of bounded size by median splits of a bounded samp
 shard, rows are split at the median of the widest dimension until leaves are small; every node keeps the tight bounding box of
 its rows. The greatest inner product of a query with any point of a box is the sum, over dimensions, of the larger of q*low and
 q*high: an upper bound. The search opens nodes best bound first and ends when no bound reaches the k-th best score. A query
-first searches the shard it lies in; the k-th score found there is propagated, and the query goes on to just those shards whose
-own box can reach it.
+first searches the shard it lies in; the k-th score found there is propagated, and the query goes on to just those shards one
+of whose BOXES boxes (the upper nodes of their trees) can reach it.
 
 Defined results. A component x counts as floor(256 * x). Vectors that are null, or hold a null or non-finite component, and
 rows with a null vec_id take no part. Vectors are compared with those of their own length. Ties go to the smaller vec_id.
@@ -35,6 +35,8 @@ from .common import process_slots, written
 
 #: Rows of a leaf, numbers of a shard, rows below which a table is not dealt over more shards, queries bounded at once.
 LEAF, MAX_COMPONENTS, LEAST_ROWS, BLOCK = 256, 1 << 22, 1024, 256
+#: Boxes that a shard is described by, at most about.
+BOXES = 16
 #: Numbers of the sample that planes are fitted on (in expectation), of the boxes compared at once, and queries that a task takes.
 SAMPLE_NUMBERS, BOX_NUMBERS, QUERY_BLOCK = 1 << 22, 1 << 22, 1 << 18
 RESULT = "query_row long, query_id long, vec_id long, score long"
@@ -116,6 +118,13 @@ class Tree:
         """Greatest possible score of every query (rows) in every node (columns)."""
         return np.maximum(queries, 0) @ self.highs.T + np.minimum(queries, 0) @ self.lows.T
 
+    def frontier(self, most: int) -> list[int]:
+        """Nodes that together hold all rows, the first ones of the tree in breadth, about so many."""
+        nodes = [0] if self.below else []
+        while len(nodes) < most and any(self.below[n] is not None for n in nodes):
+            nodes = [c for n in nodes for c in (self.below[n] or (n,))]
+        return nodes
+
     def search(self, query: np.ndarray, own_id: int, bounds: np.ndarray, k: int, reach: float) -> list[tuple[int, int]]:
         """(score, vec_id) of the best k rows whose score is `reach` at least."""
         best: list[tuple[int, int]] = []
@@ -219,7 +228,7 @@ def _placed(base: DataFrame, sizes: list) -> DataFrame:
 
 
 def _reached(asks: DataFrame, boxes: DataFrame) -> DataFrame:
-    """dim, shard, row, vec_id, v, reach: the queries for each shard other than their own whose box can hold a score that they have to reach."""
+    """dim, shard, row, vec_id, v, reach: the queries for each shard other than their own one of whose boxes can hold a score that they have to reach."""
     numbers = boxes.agg(F.sum(2 * F.col("dim") + 2)).first()[0] or 0
     blocks = max(1, -(-numbers // BOX_NUMBERS))
     found = []
@@ -241,7 +250,7 @@ def _reached(asks: DataFrame, boxes: DataFrame) -> DataFrame:
                     kind = _exact(int(max(np.abs(low).max(initial=0), np.abs(high).max(initial=0))), int(np.abs(q).max(initial=0)), dim)
                     bound = high.astype(kind) @ np.maximum(q, 0).astype(kind) + low.astype(kind) @ np.minimum(q, 0).astype(kind)
                     go = (shards != own[i]) if least[i] is None else (shards != own[i]) & (bound >= least[i])
-                    to = shards[go]
+                    to = np.unique(shards[go])
                     for start in range(0, len(to), 1024):
                         part = to[start : start + 1024]
                         one = batch.slice(i, 1).take(pa.array(np.zeros(len(part), np.int64)))
@@ -296,9 +305,11 @@ def top_k(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 5)
         asked = part.filter(part["asks"])
         search = Search(part, k)
         said = search.answers(asked.append_column("reach", pa.nulls(asked.num_rows, pa.int64())))
-        none, n = pa.nulls(1, pa.int64()), said.num_rows
-        box = [pa.array([x(0).tolist()], pa.list_(pa.int64())) for x in (search.points.min, search.points.max)]
-        place = [pa.array([part["dim"][0].as_py()] * (n + 1), pa.int32()), pa.array([part["shard"][0].as_py()] * (n + 1), pa.int64())]
+        tree = next(iter(search.trees.values()))
+        nodes = tree.frontier(BOXES)
+        none, n = pa.nulls(len(nodes), pa.int64()), said.num_rows
+        box = [pa.array([[int(x) for x in side[i]] for i in nodes], pa.list_(pa.int64())) for side in (tree.lows, tree.highs)]
+        place = [pa.array([part["dim"][0].as_py()] * (n + len(nodes)), pa.int32()), pa.array([part["shard"][0].as_py()] * (n + len(nodes)), pa.int64())]
         columns = [pa.concat_arrays([said.column(j), none]) for j in range(4)] + place + [pa.concat_arrays([pa.nulls(n, b.type), b]) for b in box]
         return pa.table(columns, names=["query_row", "query_id", "vec_id", "score", "dim", "shard", "low", "high"])
 
